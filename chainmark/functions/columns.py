@@ -148,7 +148,7 @@ def is_clean(df: DataFrame) -> bool:
 
 def tags_of(col: Column) -> Column:
     """comma text to a set of tags."""
-    parts = F.transform(F.split(col, ","), F.trim)
+    parts = F.transform(F.split(col, ","), lambda t: F.trim(t))
     return F.array_distinct(F.filter(parts, lambda t: t != ""))
 
 

@@ -30,7 +30,7 @@ def features_of(texts: DataFrame, kind: str, properties: T.StructType | None = N
         elif kind == "LineString":
             g = snap_grid(g)
         else:
-            g = F.transform(g, snap_grid)
+            g = F.transform(g, lambda ring: snap_grid(ring))
         rows = rows.withColumn("geometry", g)
     return rows.select("properties.*", "geometry") if properties else rows
 
