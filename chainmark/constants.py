@@ -9,6 +9,14 @@ LINE_START_KM = {"TLX": -3.7, "MLX": 26.9, "SML": 174.0, "EML": 288.7}
 # Fixed value: chainage (km) where TLX ends and MLX begins.
 TLX_END_KM = 26.9
 
+# How each line's segments get their chainage; TLX is counted back from its end.
+LINE_CHAINAGES = {
+    "TLX": {"chainage_end": 26.9, "reverse": True},
+    "MLX": {"chainage_start": 26.9},
+    "SML": {"chainage_start": 174.0},
+    "EML": {"chainage_start": 288.7},
+}
+
 # Centreline layer name of each line.
 LAYER_LINES = {"Mainline": "MLX", "Solomon Spur": "SML", "Eliwana Mainline": "EML"}
 

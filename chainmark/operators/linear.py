@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainmark.constants import LINE_START_KM
+from chainmark.constants import LINE_CHAINAGES, LINE_START_KM
 from chainmark.functions.columns import chainage_key
 from chainmark.functions.geometry import distance, point
 from chainmark.operators.intervals import interval_join
@@ -176,15 +176,16 @@ def cut_lines(lines_edges: DataFrame, cuts: DataFrame) -> DataFrame:
     return shapes.join(pieces, ["line_id", "piece"])
 
 
-def segment_pieces(edges: DataFrame, segment_length: float = 100.0, reverse: bool = False) -> DataFrame:
+def segment_pieces(edges: DataFrame, segment_length: float = 100.0, reverse: Sequence[str] = ()) -> DataFrame:
     """Pieces of equal length along each line, with ``seq`` from 0, measures, shape and ``is_partial``.
 
-    Edges name the pieces they touch, so no range join is needed. ``reverse`` measures from the far end:
-    the short piece is then the first one. Vertex order always follows the line.
+    Edges name the pieces they touch, so no range join is needed. Lines in ``reverse`` are measured from the
+    far end: the short piece is then the first one. Vertex order always follows the line.
     """
     size = F.lit(float(segment_length))
     totals = line_totals(edges).withColumn("pieces", F.greatest(F.ceil(F.col("length") / size - F.lit(1e-9)), F.lit(1)))
-    totals = totals.withColumn("shift", F.greatest(F.col("pieces") * size - F.col("length"), F.lit(0.0)) if reverse else F.lit(0.0))
+    far_end = F.col("line_id").isin(list(reverse)) if reverse else F.lit(False)
+    totals = totals.withColumn("shift", F.when(far_end, F.greatest(F.col("pieces") * size - F.col("length"), F.lit(0.0))).otherwise(0.0))
     touched = lookup_join(edges, totals, ["line_id"], how="inner")
     last = F.col("pieces") - 1
     first_piece = F.least(F.floor((F.col("m0") + F.col("shift")) / size), last)
@@ -206,30 +207,34 @@ def segment_pieces(edges: DataFrame, segment_length: float = 100.0, reverse: boo
 
 
 def chainage_segments(
-    edges: DataFrame, prefix: str, segment_length: float = 100.0, chainage_start: float | None = None,
-    chainage_end: float | None = None, reverse: bool = False,
+    edges: DataFrame, chainages: Mapping[str, Mapping] = LINE_CHAINAGES, segment_length: float = 100.0,
 ) -> DataFrame:
-    """Fixed-length segments of one line with their chainage and text key.
+    """Fixed-length segments of all lines with their chainage and text key, in one pass.
 
-    Start chainages are counted in whole segments from the first one, never added up in floats. With
-    ``chainage_end`` the start of the line is that end less the number of segments.
+    ``chainages`` gives each line a ``chainage_start``, or a ``chainage_end`` from which its start follows by
+    the number of segments, and ``reverse``. Chainages are counted in whole segments from the first one, never
+    added up in floats. Lines without an entry get no segments.
     """
     step_hm = segment_length / 100.0
-    pieces = segment_pieces(edges, segment_length, reverse)
-    if chainage_end is not None:
-        first = F.lit(round(chainage_end * 10, 6)) - F.col("pieces") * F.lit(step_hm)
-    else:
-        first = F.lit(round((chainage_start or 0.0) * 10, 6))
+    edges = edges.where(F.col("line_id").isin(list(chainages)))
+    pieces = segment_pieces(edges, segment_length, [n for n, c in chainages.items() if c.get("reverse")])
+    first = F.lit(None).cast("double")
+    for name, setting in chainages.items():
+        if setting.get("chainage_end") is not None:
+            value = F.lit(round(setting["chainage_end"] * 10, 6)) - F.col("pieces") * F.lit(step_hm)
+        else:
+            value = F.lit(round(setting["chainage_start"] * 10, 6))
+        first = F.when(F.col("line_id") == name, value).otherwise(first)
     start = first + F.col("seq") * F.lit(step_hm)
-    end = start + F.lit(step_hm)
+    pieces = pieces.withColumns({"_start": start, "_end": start + F.lit(step_hm)})
 
     def whole(hm: Column) -> Column:
         return F.floor(F.abs(hm) + F.lit(1e-6)) * F.signum(hm).cast("long")
 
     return pieces.select(
-        F.lit(prefix).alias("line_id"), "seq",
-        whole(start).alias("start_hm"), whole(end).alias("end_hm"),
-        chainage_key(prefix, whole(start), whole(end)).alias("chainage_id"),
-        (start / F.lit(10.0)).alias("chainage_start_km"), (end / F.lit(10.0)).alias("chainage_end_km"),
+        "line_id", "seq",
+        whole(F.col("_start")).alias("start_hm"), whole(F.col("_end")).alias("end_hm"),
+        chainage_key(F.col("line_id"), whole(F.col("_start")), whole(F.col("_end"))).alias("chainage_id"),
+        (F.col("_start") / F.lit(10.0)).alias("chainage_start_km"), (F.col("_end") / F.lit(10.0)).alias("chainage_end_km"),
         "m_start", "m_end", "is_partial", F.col("pts").alias("geometry"),
     )

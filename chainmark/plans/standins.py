@@ -159,14 +159,19 @@ ASSIGN_SQL = """{name} as (
   from {points} p)"""
 
 
+# Engines add floats in different orders. Cells of the grid begin away from short decimals, so that a value such
+# as 0.5 of the last digit does not fall on a border by rounding noise alone.
+SHIFT = 0.4987654321
+
+
 def q(col, digits: int = 6):
     """A float on a fixed grid, the same in both engines."""
     unit = float(10 ** digits)
-    return F.floor(col * F.lit(unit) + F.lit(0.5)) / F.lit(unit)
+    return F.floor(col * F.lit(unit) + F.lit(SHIFT)) / F.lit(unit)
 
 
 def q_sql(text: str, digits: int = 6) -> str:
-    return f"(floor(({text}) * 1e{digits} + cast(0.5 as double)) / 1e{digits})"
+    return f"(floor(({text}) * 1e{digits} + cast({SHIFT} as double)) / 1e{digits})"
 
 
 def raw_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
