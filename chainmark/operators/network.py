@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from chainmark.constants import ASSIGNMENT_SPEC, DEMAND_SPEC, HYBRID_SPEC, HYBRID_TAGS, ID_PREFIXES
 from chainmark.functions.columns import half_even, has_all, has_any, or_default, pair
-from chainmark.operators.scale import lookup_join, numbered, padded_id
+from chainmark.operators.scale import lookup_join, measured_bytes, numbered, padded_id
+from chainmark.session import checkpointed
 
 
 def solution_tags(solve_configs: Sequence[Mapping]) -> dict[str, set[str]]:
@@ -115,13 +116,15 @@ def devices(nodes: DataFrame, specs: Sequence[tuple[str, int, int | None, str]])
     placed = rows.where("kind = 0")
     own = placed.select(F.col("node_id").alias("_child"), F.col("src").alias("_parent"), F.lit(0).alias("_rank"))
     served = served_by(placed).select(F.col("demand_node_id").alias("_child"), F.col("serving_node_id").alias("_parent"), F.lit(1).alias("_rank"))
-    parents = own.unionByName(served).groupBy("_child").agg(F.min_by("_parent", "_rank").alias("_parent"))
+    parents = checkpointed(own.unionByName(served).groupBy("_child").agg(F.min_by("_parent", "_rank").alias("_parent")))
+    ids = checkpointed(ids)
+    parent_bytes, id_bytes = measured_bytes(parents), measured_bytes(ids)
 
     def parent_of(df: DataFrame, child: str, out: str) -> DataFrame:
-        return lookup_join(df, parents.select(F.col("_child").alias(child), F.col("_parent").alias(out)), [child])
+        return lookup_join(df, parents.select(F.col("_child").alias(child), F.col("_parent").alias(out)), [child], dim_bytes=parent_bytes)
 
     def id_of(df: DataFrame, node: str, out: str) -> DataFrame:
-        return lookup_join(df, ids.select(F.col("node_id").alias(node), F.col("device_id").alias(out)), [node])
+        return lookup_join(df, ids.select(F.col("node_id").alias(node), F.col("device_id").alias(out)), [node], dim_bytes=id_bytes)
 
     full = parent_of(rows.withColumn("_self", F.col("node_id")), "_self", "_served")
     full = full.withColumn("_source", F.when(F.col("kind") == 1, F.col("_served")).otherwise(F.col("src")))
@@ -158,9 +161,10 @@ def parcels(device_table: DataFrame, areas: DataFrame) -> DataFrame:
 
 def _with_ids(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Device ids of both ends and of the source, empty where there is none."""
+    size = measured_bytes(ids)
     for column, out in (("start", "start_id"), ("end", "end_id"), ("src", "source")):
         names = ids.select(F.col("node_id").alias(column), F.col("device_id").alias(out))
-        edges = lookup_join(edges, names, [column]).withColumn(out, or_default(F.col(out), ""))
+        edges = lookup_join(edges, names, [column], dim_bytes=size).withColumn(out, or_default(F.col(out), ""))
     return edges
 
 

@@ -12,6 +12,7 @@ from chainmark.operators.intervals import find_segments, section_line
 from chainmark.operators.linear import interpolate, substring
 from chainmark.operators.scale import lookup_join
 from chainmark.operators.spatial import locate
+from chainmark.session import checkpointed
 
 
 def _attributes(track: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def build_sections(sections: DataFrame, segments: DataFrame, edges: DataFrame, s
     An end on the same line is a measure already. An end on another line is placed there and projected onto
     the section's own line. A section with an end in no segment gets a null shape (see ``lost_ends``).
     """
-    ends = section_ends(sections, segments)
+    ends = checkpointed(section_ends(sections, segments))
     away = ends.where(F.col("measure").isNotNull() & (F.col("line_id") != F.col("own_line_id")))
     home = ends.where(F.col("measure").isNull() | (F.col("line_id") == F.col("own_line_id"))).select("section_id", "end", "measure")
     if away.limit(1).count():
@@ -92,7 +93,7 @@ def build_sections(sections: DataFrame, segments: DataFrame, edges: DataFrame, s
     measures = home.groupBy("section_id").agg(
         F.max(F.when(F.col("end") == 0, F.col("measure"))).alias("a"),
         F.max(F.when(F.col("end") == 1, F.col("measure"))).alias("b"))
-    placed = sections.join(measures, "section_id")
+    placed = checkpointed(sections.join(measures, "section_id"))
     shapes = substring(placed.where("a is not null and b is not null").select("line_id", "section_id", "a", "b"), edges, key="section_id")
     out = placed.join(shapes.select("section_id", F.col("pts").alias("geometry")), "section_id", "left")
     return with_centroid(out, srid) if srid is not None else out

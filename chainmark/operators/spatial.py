@@ -104,6 +104,7 @@ def locate(
     box = edges.agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x1", "y1", "x2", "y2")]).first()
     if box["min_x1"] is None:
         return nearest_edge(points, edges, first_radius, by=by, carry=carry, geometry=geometry, out=out)
+    edges = checkpointed(edges)
     known = edges.select(*by).distinct().withColumn("_known", F.lit(True)) if by else None
     todo, done, radius = points, [], first_radius
     while True:
@@ -189,28 +190,34 @@ def _ring_edges(areas: DataFrame, area: str) -> DataFrame:
     return rings.where(F.size("ring") > 2).select(area, F.explode(legs).alias("e")).select(area, "e.*")
 
 
-def clip_points(points: DataFrame, areas: DataFrame, area: str = "area_id", geometry: str = "geometry", band: float | None = None) -> DataFrame:
+def clip_points(points: DataFrame, areas: DataFrame, area: str = "area_id", geometry: str = "geometry") -> DataFrame:
     """Points inside any polygon, each once (crossing count to the right, half-open in y).
 
-    Ring edges are listed per horizontal band, so points and edges meet by equality on the band.
+    Ring edges are listed per cell: horizontal bands as high as a usual edge, columns as wide as a usual
+    polygon. A point meets the polygons around its cell by equality and sees their edges of its band only.
     """
     edges = _ring_edges(areas, area).where(F.col("y1") != F.col("y2"))
-    if band is None:
-        mean = edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("h")).first()["h"]
-        band = max(mean or 1.0, 1e-9)
-    banded = edges.withColumn("_band", F.explode(F.sequence(
-        F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))))
-    listed = banded.groupBy("_band", area).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_ring"))
-    listed = listed.groupBy("_band").agg(F.collect_list("_ring").alias("_rings"))
+    spans = edges.groupBy(area).agg(F.least(F.min("x1"), F.min("x2")).alias("_left"), F.greatest(F.max("x1"), F.max("x2")).alias("_right"))
+    height = edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("h")).first()["h"]
+    width = spans.agg(F.avg(F.col("_right") - F.col("_left")).alias("w")).first()["w"]
+    band, column = max(height or 1.0, 1e-9), max(width or 1.0, 1e-9)
+    listed = (
+        edges.withColumn("_band", F.explode(F.sequence(F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))))
+        .join(spans, area)
+        .withColumn("_column", F.explode(F.sequence(F.floor(F.col("_left") / column), F.floor(F.col("_right") / column))))
+        .groupBy("_band", "_column", area).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_ring"))
+        .groupBy("_band", "_column").agg(F.collect_list("_ring").alias("_rings"))
+    )
     x, y = F.col(f"{geometry}.x"), F.col(f"{geometry}.y")
 
     def crosses(e) -> Column:
-        spans = (e["y1"] > y) != (e["y2"] > y)
-        return spans & (x < e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"]))
+        spans_y = (e["y1"] > y) != (e["y2"] > y)
+        return spans_y & (x < e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"]))
 
-    joined = lookup_join(points.withColumn("_band", F.floor(y / band)), listed, ["_band"], how="inner")
+    celled = points.withColumns({"_band": F.floor(y / band), "_column": F.floor(x / column)})
+    joined = lookup_join(celled, listed, ["_band", "_column"], how="inner")
     inside = F.exists("_rings", lambda ring: F.size(F.filter(ring, crosses)) % 2 == 1)
-    return joined.where(inside).drop("_band", "_rings")
+    return joined.where(inside).drop("_band", "_column", "_rings")
 
 
 def clip_lines(lines: DataFrame, areas: DataFrame, key: str, area: str = "area_id", geometry: str = "pts", cell: float | None = None) -> DataFrame:

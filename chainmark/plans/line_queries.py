@@ -307,14 +307,16 @@ projected as (select section_id, is_end, min_by(m, struct_pack(d := d, m := m))
   select section_id, is_end, m0 + k * len as m, sqrt((x - x1 - k * (x2 - x1)) * (x - x1 - k * (x2 - x1)) + (y - y1 - k * (y2 - y1)) * (y - y1 - k * (y2 - y1))) as d
   from (select a.*, e.*, least(greatest(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / (len * len), cast(0 as double)), cast(1 as double)) as k from away a join edges e on e.line_id = a.own)) group by 1, 2),
 final as (select d.section_id, d.own as line_id, d.is_end, case when d.line_id = d.own then d.m else p.m end as m from measured d left join projected p on p.section_id = d.section_id and p.is_end = d.is_end),
-ranges as (select section_id, line_id, max(case when is_end = 0 then m end) as a, max(case when is_end = 1 then m end) as b from final group by 1, 2)"""
+ranges as (select section_id, line_id, max(case when is_end = 0 then m end) as a, max(case when is_end = 1 then m end) as b from final group by 1, 2),
+both_ends as (select * from ranges where a is not null and b is not null)"""
 
 
-@query("g17_section_shapes", f"with {_G17_SQL}, {_pieces_sql('ranges', 'section_id')} select r.line_id, r.section_id, s.vertices, {q_sql('s.length', 2)} as length "
+@query("g17_section_shapes", f"with {_G17_SQL}, {_pieces_sql('both_ends', 'section_id')} select r.line_id, r.section_id, s.vertices, {q_sql('s.length', 2)} as length "
        "from ranges r left join shapes s on s.section_id = r.section_id")
 def g17_section_shapes(spark, sf_dir):
-    segments = checkpointed(all_segments(spark, sf_dir))
-    built = sec.build_sections(_curves(spark, sf_dir), segments, edges(spark, sf_dir))
+    e = checkpointed(edges(spark, sf_dir))
+    segments = checkpointed(linear.chainage_segments(e, LINE_CHAINAGES).drop("geometry"))
+    built = sec.build_sections(_curves(spark, sf_dir), segments, e)
     return built.select("line_id", "section_id", F.when(F.col("geometry").isNotNull(), F.size("geometry")).alias("vertices"), q(G.line_length(F.col("geometry")), 2).alias("length"))
 
 
