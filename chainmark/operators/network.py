@@ -186,7 +186,7 @@ def edge_tables(
     cable_specs: Sequence[tuple[str, int, int | None, str]], duct_specs: Sequence[tuple[str, int, int | None, str]],
 ) -> dict[str, DataFrame]:
     """Assignments, ducts and cables as three independent projections of the edges; ``tags`` and ``arcs`` are kept."""
-    named = _with_ids(edges, ids)
+    named = checkpointed(_with_ids(edges, ids))
 
     def having(role: str) -> DataFrame:
         return named.where(has_any(F.col("tags"), sorted(roles.get(role, set()))) if roles.get(role) else F.lit(False))

@@ -21,6 +21,11 @@ def edges(spark, sf_dir):
     return linear.edge_table(S.lines(spark, sf_dir))
 
 
+def stored_edges(spark, sf_dir):
+    """The edge table written once, for operators that read it several times."""
+    return checkpointed(edges(spark, sf_dir))
+
+
 @query("g3_edges", WITH_EDGES + f"select line_id, seq, {q_sql('m0', 4)} as m0, {q_sql('m0 + len', 4)} as m1 from edges")
 def g3_edges(spark, sf_dir):
     return edges(spark, sf_dir).select("line_id", "seq", q(F.col("m0"), 4).alias("m0"), q(F.col("m1"), 4).alias("m1"))
@@ -46,7 +51,7 @@ def f11_duplicate_lines(spark, sf_dir):
 @query("g5_locate", f"with {S.EDGES_SQL}, {S.SPOTS_SQL}, {S.NEAR_SQL.format(on='e.line_id = s.line_id', where='')} "
        f"select spot_id, {q_sql('near.dist', 4)} as dist, {q_sql('near.measure', 4)} as measure from near")
 def g5_locate(spark, sf_dir):
-    found = spatial.locate(S.spots(spark, sf_dir), edges(spark, sf_dir), first_radius=60.0)
+    found = spatial.locate(S.spots(spark, sf_dir), stored_edges(spark, sf_dir), first_radius=60.0)
     return found.select("spot_id", q(F.col("near.dist"), 4).alias("dist"), q(F.col("near.measure"), 4).alias("measure"))
 
 
@@ -64,7 +69,7 @@ def _snapped(rows):
 
 @query("g6_snap", _SNAP)
 def g6_snap(spark, sf_dir):
-    return _snapped(spatial.snap(S.spots(spark, sf_dir), edges(spark, sf_dir), max_distance=150.0))
+    return _snapped(spatial.snap(S.spots(spark, sf_dir), stored_edges(spark, sf_dir), max_distance=150.0))
 
 
 @query("g6_snap_crowded", _SNAP)
@@ -89,7 +94,7 @@ def g7_interpolate(spark, sf_dir):
     k = F.col("l_partkey")
     at = S.table(spark, sf_dir, "lineitem").select(S.line_name(k % 4).alias("line_id"), (k * 251 + F.col("l_linenumber") * F.lit(7.5) - 300).alias("measure"))
     at = at.groupBy("line_id", "measure").agg(F.count(F.lit(1)).alias("n"))
-    return linear.interpolate(at, edges(spark, sf_dir)).select(
+    return linear.interpolate(at, stored_edges(spark, sf_dir)).select(
         "line_id", q(F.col("measure"), 1).alias("m"), "n", q(F.col("geometry.x"), 3).alias("x"), q(F.col("geometry.y"), 3).alias("y"))
 
 
@@ -116,7 +121,7 @@ _RANGES_SQL = f"ranges as (select line_id, section_id, end_km * 1003 + 0.25 as a
 def g8_substring(spark, sf_dir):
     s = S.sections(spark, sf_dir).where("start_km < 450")
     ranges = s.select("line_id", "section_id", (F.col("end_km") * 1003 + 0.25).alias("a"), (F.col("start_km") * 1001 + 0.25).alias("b"))
-    return _shape(linear.substring(ranges, edges(spark, sf_dir), key="section_id"), "section_id")
+    return _shape(linear.substring(ranges, stored_edges(spark, sf_dir), key="section_id"), "section_id")
 
 
 _OFFSET_SQL = "(case line_id when 'TLX' then cast(-3.7 as double) when 'MLX' then 26.9 when 'SML' then 174 else 288.7 end)"
@@ -130,7 +135,7 @@ def g9_by_chainage(spark, sf_dir):
         offset = F.when(F.col("line_id") == name, km).otherwise(offset)
     s = S.sections(spark, sf_dir).where("start_km < 450").withColumns({
         "start_km": F.col("start_km") + 0.01 + offset, "end_km": F.col("end_km") + 0.01 + offset})
-    return _shape(linear.section_shapes(s, edges(spark, sf_dir), method="chainage"), "section_id")
+    return _shape(linear.section_shapes(s, stored_edges(spark, sf_dir), method="chainage"), "section_id")
 
 
 @query("g9_chord", f"with {S.EDGES_SQL}, {S.SECTIONS_SQL}, {_RANGES_SQL}, {_pieces_sql('ranges', 'section_id')} "
@@ -138,7 +143,7 @@ def g9_by_chainage(spark, sf_dir):
 def g9_chord(spark, sf_dir):
     s = S.sections(spark, sf_dir).where("start_km < 450")
     ranges = s.select("line_id", "section_id", (F.col("end_km") * 1003 + 0.25).alias("a"), (F.col("start_km") * 1001 + 0.25).alias("b"))
-    return _shape(linear.section_shapes(ranges, edges(spark, sf_dir), method="chord"), "section_id").drop("length")
+    return _shape(linear.section_shapes(ranges, stored_edges(spark, sf_dir), method="chord"), "section_id").drop("length")
 
 
 @query("g10_cut_lines", f"""with {S.EDGES_SQL}, cuts as (select distinct {S.LINE_SQL.format('s_suppkey % 4')} as line_id, s_suppkey * 1711 % 400000 + 0.5 as m from supplier),
@@ -148,12 +153,12 @@ ranges as (select line_id, row_number() over (partition by line_id order by a) -
 def g10_cut_lines(spark, sf_dir):
     k = F.col("s_suppkey")
     cuts = S.table(spark, sf_dir, "supplier").select(S.line_name(k % 4).alias("line_id"), (k * 1711 % 400000 + 0.5).alias("measure"))
-    return _shape(linear.cut_lines(edges(spark, sf_dir), cuts), "piece")
+    return _shape(linear.cut_lines(stored_edges(spark, sf_dir), cuts), "piece")
 
 
 def all_segments(spark, sf_dir):
     """100 m segments of the four lines; the first line is counted back from its end."""
-    return linear.chainage_segments(edges(spark, sf_dir), LINE_CHAINAGES)
+    return linear.chainage_segments(stored_edges(spark, sf_dir), LINE_CHAINAGES)
 
 
 SEGMENTS_SQL = f"""counts as (select line_id, length, cast(ceil(length / 100 - 1e-9) as bigint) as pieces from totals),
@@ -259,7 +264,7 @@ def s13_poi_snap(spark, sf_dir):
     """Named points moved onto the lines without a limit, as points of interest are."""
     k = F.col("s_suppkey")
     named = S.table(spark, sf_dir, "supplier").select(k.alias("spot_id"), G.point(k * 4990 % 499000 + 33.0, (k % 4) * F.lit(20000.0) + 300.0).alias("geometry"))
-    return _snapped(spatial.snap(named, edges(spark, sf_dir)))
+    return _snapped(spatial.snap(named, stored_edges(spark, sf_dir)))
 
 
 def switches(spark, sf_dir):
@@ -314,7 +319,7 @@ both_ends as (select * from ranges where a is not null and b is not null)"""
 @query("g17_section_shapes", f"with {_G17_SQL}, {_pieces_sql('both_ends', 'section_id')} select r.line_id, r.section_id, s.vertices, {q_sql('s.length', 2)} as length "
        "from ranges r left join shapes s on s.section_id = r.section_id")
 def g17_section_shapes(spark, sf_dir):
-    e = checkpointed(edges(spark, sf_dir))
+    e = stored_edges(spark, sf_dir)
     segments = checkpointed(linear.chainage_segments(e, LINE_CHAINAGES).drop("geometry"))
     built = sec.build_sections(_curves(spark, sf_dir), segments, e)
     return built.select("line_id", "section_id", F.when(F.col("geometry").isNotNull(), F.size("geometry")).alias("vertices"), q(G.line_length(F.col("geometry")), 2).alias("length"))
