@@ -57,32 +57,25 @@ def join_loop(a: Column, b: Column) -> Column:
     return F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.slice(b, F.lit(1), F.size(b) - 1))
 
 
-def reproject(pts: Column, transform) -> Column:
-    """G1 on a vertex list; ``transform`` takes and returns an (x, y) pair of columns."""
-    def one(p):
-        x, y = transform(p["x"], p["y"])
-        return point(x, y)
-    return F.transform(pts, one)
-
-
 def number_text(col: Column, digits: int = 6) -> Column:
-    """A coordinate with at most six decimals and no trailing zeros."""
+    """A coordinate with at most ``digits`` decimals and no trailing zeros."""
     text = F.regexp_replace(F.format_string(f"%.{digits}f", col), r"\.?0+$", "")
     return F.when(text == "-0", "0").otherwise(text)
 
 
-def _pair_text(p: Column) -> Column:
-    return F.concat_ws(" ", number_text(p["x"]), number_text(p["y"]))
+def _pair_text(p: Column, digits: int) -> Column:
+    return F.concat_ws(" ", number_text(p["x"], digits), number_text(p["y"], digits))
 
 
-def point_wkt(p: Column) -> Column:
+def point_wkt(p: Column, digits: int = 6) -> Column:
     """K2/K4."""
-    return F.when(p.isNotNull(), F.concat(F.lit("POINT ("), _pair_text(p), F.lit(")")))
+    return F.when(p.isNotNull(), F.concat(F.lit("POINT ("), _pair_text(p, digits), F.lit(")")))
 
 
-def line_wkt(pts: Column) -> Column:
+def line_wkt(pts: Column, digits: int = 6) -> Column:
     """K2/K4."""
-    return F.when(pts.isNotNull(), F.concat(F.lit("LINESTRING ("), F.array_join(F.transform(pts, _pair_text), ", "), F.lit(")")))
+    pairs = F.array_join(F.transform(pts, lambda p: _pair_text(p, digits)), ", ")
+    return F.when(pts.isNotNull(), F.concat(F.lit("LINESTRING ("), pairs, F.lit(")")))
 
 
 def _pairs(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -67,46 +68,104 @@ def zone_of(srid: int) -> Zone:
     raise ValueError(f"unsupported EPSG code: {srid}")
 
 
-def forward(lon: Column, lat: Column, srid: int) -> tuple[Column, Column]:
-    """G1: degrees to metres."""
+# Values by name: a dict of columns, or one struct column.
+Step = Callable[[Mapping[str, Column] | Column], dict[str, Column]]
+
+
+def _forward_steps(srid: int) -> list[Step]:
+    """Degrees (x, y) to metres in steps, each naming the values the next one uses more than once."""
     if srid == LONLAT:
-        return lon, lat
+        return []
     if srid == WEB_MERCATOR:
         r = WGS84[0]
-        return F.radians(lon) * r, F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2)) * r
+        return [lambda v: {"x": F.radians(v["x"]) * r, "y": F.log(F.tan(F.lit(math.pi / 4) + F.radians(v["y"]) / 2)) * r}]
     zone = zone_of(srid)
     k = 2 * math.sqrt(zone.n) / (1 + zone.n)
-    s = F.sin(F.radians(lat))
-    dlon = F.radians(lon - F.lit(zone.meridian))
-    t = F.sinh(F.atanh(s) - F.lit(k) * F.atanh(F.lit(k) * s))
-    xi = F.atan2(t, F.cos(dlon))
-    eta = F.atanh(F.sin(dlon) / F.sqrt(F.lit(1.0) + t * t))
-    east, north = eta, xi
-    for j, a in enumerate(zone.alpha, start=1):
-        east = east + F.lit(a) * F.cos(xi * (2.0 * j)) * F.sinh(eta * (2.0 * j))
-        north = north + F.lit(a) * F.sin(xi * (2.0 * j)) * F.cosh(eta * (2.0 * j))
-    return F.lit(FALSE_EASTING) + east * F.lit(zone.radius), F.lit(zone.north) + north * F.lit(zone.radius)
 
+    def angles(v):
+        return {"s": F.sin(F.radians(v["y"])), "lon": F.radians(v["x"] - F.lit(zone.meridian))}
 
-def inverse(x: Column, y: Column, srid: int) -> tuple[Column, Column]:
-    """G1: metres to degrees."""
+    def conformal(v):
+        return {"t": F.sinh(F.atanh(v["s"]) - F.lit(k) * F.atanh(F.lit(k) * v["s"])), "lon": v["lon"]}
+
+    def sphere(v):
+        return {"xi": F.atan2(v["t"], F.cos(v["lon"])), "eta": F.atanh(F.sin(v["lon"]) / F.sqrt(F.lit(1.0) + v["t"] * v["t"]))}
+
+    def series(v):
+        east, north = v["eta"], v["xi"]
+        for j, a in enumerate(zone.alpha, start=1):
+            east = east + F.lit(a) * F.cos(v["xi"] * (2.0 * j)) * F.sinh(v["eta"] * (2.0 * j))
+            north = north + F.lit(a) * F.sin(v["xi"] * (2.0 * j)) * F.cosh(v["eta"] * (2.0 * j))
+        return {"x": F.lit(FALSE_EASTING) + east * F.lit(zone.radius), "y": F.lit(zone.north) + north * F.lit(zone.radius)}
+
+    return [angles, conformal, sphere, series]
+
+
+def _inverse_steps(srid: int) -> list[Step]:
+    """Metres (x, y) to degrees in steps."""
     if srid == LONLAT:
-        return x, y
+        return []
     if srid == WEB_MERCATOR:
         r = WGS84[0]
-        return F.degrees(x / r), F.degrees(F.atan(F.exp(y / r)) * 2 - F.lit(math.pi / 2))
+        return [lambda v: {"x": F.degrees(v["x"] / r), "y": F.degrees(F.atan(F.exp(v["y"] / r)) * 2 - F.lit(math.pi / 2))}]
     zone = zone_of(srid)
-    xi = (y - F.lit(zone.north)) / F.lit(zone.radius)
-    eta = (x - F.lit(FALSE_EASTING)) / F.lit(zone.radius)
-    xi1, eta1 = xi, eta
-    for j, b in enumerate(zone.beta, start=1):
-        xi1 = xi1 - F.lit(b) * F.sin(xi * (2.0 * j)) * F.cosh(eta * (2.0 * j))
-        eta1 = eta1 - F.lit(b) * F.cos(xi * (2.0 * j)) * F.sinh(eta * (2.0 * j))
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    lat = chi
-    for j, d in enumerate(zone.delta, start=1):
-        lat = lat + F.lit(d) * F.sin(chi * (2.0 * j))
-    return F.lit(zone.meridian) + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1))), F.degrees(lat)
+
+    def scaled(v):
+        return {"xi": (v["y"] - F.lit(zone.north)) / F.lit(zone.radius), "eta": (v["x"] - F.lit(FALSE_EASTING)) / F.lit(zone.radius)}
+
+    def sphere(v):
+        xi, eta = v["xi"], v["eta"]
+        for j, b in enumerate(zone.beta, start=1):
+            xi = xi - F.lit(b) * F.sin(v["xi"] * (2.0 * j)) * F.cosh(v["eta"] * (2.0 * j))
+            eta = eta - F.lit(b) * F.cos(v["xi"] * (2.0 * j)) * F.sinh(v["eta"] * (2.0 * j))
+        return {"xi": xi, "eta": eta}
+
+    def latitude(v):
+        return {"chi": F.asin(F.sin(v["xi"]) / F.cosh(v["eta"])), "lon": F.atan2(F.sinh(v["eta"]), F.cos(v["xi"]))}
+
+    def series(v):
+        lat = v["chi"]
+        for j, d in enumerate(zone.delta, start=1):
+            lat = lat + F.lit(d) * F.sin(v["chi"] * (2.0 * j))
+        return {"x": F.lit(zone.meridian) + F.degrees(v["lon"]), "y": F.degrees(lat)}
+
+    return [scaled, sphere, latitude, series]
+
+
+def _chain(x: Column, y: Column, steps: list[Step]) -> tuple[Column, Column]:
+    values = {"x": x, "y": y}
+    for step in steps:
+        values = step(values)
+    return values["x"], values["y"]
+
+
+def _chain_over(pts: Column, steps: list[Step]) -> Column:
+    """The steps over a vertex list, one pass per step, so that no value is worked out twice."""
+    for step in steps:
+        def one(p):
+            return F.struct(*[c.alias(name) for name, c in step(p).items()])  # noqa: B023
+        pts = F.transform(pts, one)
+    return pts
+
+
+def forward(lon: Column, lat: Column, srid: int) -> tuple[Column, Column]:
+    """G1: degrees to metres."""
+    return _chain(lon, lat, _forward_steps(srid))
+
+
+def inverse(x: Column, y: Column, srid: int) -> tuple[Column, Column]:
+    """G1: metres to degrees."""
+    return _chain(x, y, _inverse_steps(srid))
+
+
+def forward_line(pts: Column, srid: int) -> Column:
+    """G1: a vertex list in degrees to metres."""
+    return _chain_over(pts, _forward_steps(srid))
+
+
+def inverse_line(pts: Column, srid: int) -> Column:
+    """G1: a vertex list in metres to degrees."""
+    return _chain_over(pts, _inverse_steps(srid))
 
 
 def utm_srid(lon: Column, lat: Column) -> Column:

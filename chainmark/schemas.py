@@ -2,53 +2,53 @@
 
 from pyspark.sql import types as T
 
-POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-LINE = T.ArrayType(POINT)
-POLYGON = T.ArrayType(LINE)
+TEXT, WHOLE, LONG, NUMBER = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+
+
+def _schema(**groups: list[str]) -> list[T.StructField]:
+    kinds = {"text": TEXT, "whole": WHOLE, "long": LONG, "number": NUMBER}
+    return [T.StructField(name, kinds[kind]) for kind, names in groups.items() for name in names]
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _struct(*parts: list[T.StructField]) -> T.StructType:
+    return T.StructType([field for part in parts for field in part])
 
 
-LINES = T.StructType([T.StructField("line_id", T.StringType()), T.StructField("pts", LINE)])
+POINT = _struct(_schema(number=["x", "y"]))
+LINE = T.ArrayType(POINT)
+POLYGON = T.ArrayType(LINE)
+TAGS = T.ArrayType(TEXT)
+DUCT_INFO = _struct(_schema(text=["group_id", "tube_ids"]))
+ARCS = T.ArrayType(_struct(_schema(text=["a", "b"])))
+
+LINES = _struct(_schema(text=["line_id"]), [T.StructField("pts", LINE)])
 
-SWITCHES_CSV = _schema(
-    "Name string, Network string, `Chainage 12d (m)` double, Offset double, Easting double, Northing double, "
-    "`RL (m)` string, Latitude double, Longitude double"
-)
+SWITCHES_CSV = _struct(
+    _schema(text=["Name", "Network"]), _schema(number=["Chainage 12d (m)", "Offset", "Easting", "Northing"]),
+    _schema(text=["RL (m)"]), _schema(number=["Latitude", "Longitude"]))
 
-SWITCH_MARKERS_CSV = _schema(
-    "`ML/SOL` string, `POI Type` string, Category string, Name string, `Meter Marker (m)` double, KM double, "
-    "Lat double, Lon double, `Height (m)` double"
-)
+SWITCH_MARKERS_CSV = _struct(
+    _schema(text=["ML/SOL", "POI Type", "Category", "Name"], number=["Meter Marker (m)", "KM", "Lat", "Lon", "Height (m)"]))
 
-SEGMENT_ATTRIBUTES = _schema("`Chainage ID` string, `Chainage Start (km)` double, `Chainage End (km)` double")
+SEGMENT_ATTRIBUTES = _struct(_schema(text=["Chainage ID"], number=["Chainage Start (km)", "Chainage End (km)"]))
 
-CURVE_SECTIONS = _schema(
-    "`Asset Name` string, Section string, `Start Chainage (km)` string, `End Chainage (km)` string, "
-    "Classification string, Hand string"
-)
+CURVE_SECTIONS = _struct(_schema(text=["Asset Name", "Section", "Start Chainage (km)", "End Chainage (km)", "Classification", "Hand"]))
 
-RP_RAW = _schema(
-    "SF string, Major int, Minor double, Latitude double, Longitude double, "
-    "`East Vertical Wear` double, `West Vertical Wear` double, "
-    "`East Gauge Side Wear` double, `West Gauge Side Wear` double, "
-    "`East Relative Head Loss` double, `West Relative Head Loss` double"
-)
+_MEASURED = _schema(text=["SF"], whole=["Major"], number=["Minor", "Latitude", "Longitude"])
 
-TG_RAW = _schema("SF string, Major int, Minor double, Latitude double, Longitude double, Speed double, `Post Speed` double")
+RP_RAW = _struct(_MEASURED, _schema(number=[
+    "East Vertical Wear", "West Vertical Wear", "East Gauge Side Wear", "West Gauge Side Wear",
+    "East Relative Head Loss", "West Relative Head Loss"]))
 
-DUCT_INFO = _schema("group_id string, tube_ids string")
+TG_RAW = _struct(_MEASURED, _schema(number=["Speed", "Post Speed"]))
 
-NODES = T.StructType(
-    _schema("node_id string, cand_id string, tags array<string>, demand long, src string, input_id string, size int, "
-            "placement string, leg string, parcel_id string, access_demand_ids string").fields
-    + [T.StructField("duct_info", DUCT_INFO), T.StructField("geometry", POINT)]
-)
+NODES = _struct(
+    _schema(text=["node_id", "cand_id"]), [T.StructField("tags", TAGS)],
+    _schema(long=["demand"], text=["src", "input_id"]),
+    _schema(whole=["size"], text=["placement", "leg", "parcel_id", "access_demand_ids"]),
+    [T.StructField("duct_info", DUCT_INFO), T.StructField("geometry", POINT)])
 
-EDGES = T.StructType(
-    _schema("start string, end string, tags array<string>, src string, size int, length double, placement string, "
-            "leg string, arcs array<struct<a:string,b:string>>").fields
-    + [T.StructField("duct_info", DUCT_INFO), T.StructField("geometry", LINE)]
-)
+EDGES = _struct(
+    _schema(text=["start", "end"]), [T.StructField("tags", TAGS)],
+    _schema(text=["src"], whole=["size"], number=["length"]), _schema(text=["placement", "leg"]),
+    [T.StructField("arcs", ARCS), T.StructField("duct_info", DUCT_INFO), T.StructField("geometry", LINE)])

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from chainmark.functions import projection
 from chainmark.functions.columns import join_set
-from chainmark.functions.geometry import line_wkt, point, point_wkt, reproject
+from chainmark.functions.geometry import line_wkt, point, point_wkt
 from chainmark.sources.database import write_layer
 from chainmark.sources.layers import as_features
 
@@ -23,34 +23,25 @@ def kind_of(df: DataFrame, geometry: str = "geometry") -> str:
     return "Polygon" if isinstance(kind.elementType, T.ArrayType) else "LineString"
 
 
-def to_lonlat(df: DataFrame, srid: int, geometry: str = "geometry") -> DataFrame:
-    """G1: a layer in degrees."""
-    def back(x, y):
-        return projection.inverse(x, y, srid)
-
+def _moved(df: DataFrame, geometry: str, on_point, on_line) -> DataFrame:
     g, kind = F.col(geometry), kind_of(df, geometry)
     if kind == "Point":
-        x, y = back(g["x"], g["y"])
-        out = F.when(g.isNotNull(), point(x, y))
+        out = F.when(g.isNotNull(), point(*on_point(g["x"], g["y"])))
     elif kind == "LineString":
-        out = reproject(g, back)
+        out = on_line(g)
     else:
-        out = F.transform(g, lambda ring: reproject(ring, back))
+        out = F.transform(g, lambda ring: on_line(ring))
     return df.withColumn(geometry, out)
 
 
+def to_lonlat(df: DataFrame, srid: int, geometry: str = "geometry") -> DataFrame:
+    """G1: a layer in degrees."""
+    return _moved(df, geometry, lambda x, y: projection.inverse(x, y, srid), lambda g: projection.inverse_line(g, srid))
+
+
 def to_working(df: DataFrame, srid: int, geometry: str = "geometry") -> DataFrame:
     """G1: a lon/lat layer in working coordinates."""
-    def there(x, y):
-        return projection.forward(x, y, srid)
-
-    g, kind = F.col(geometry), kind_of(df, geometry)
-    if kind == "Point":
-        x, y = there(g["x"], g["y"])
-        return df.withColumn(geometry, F.when(g.isNotNull(), point(x, y)))
-    if kind == "LineString":
-        return df.withColumn(geometry, reproject(g, there))
-    return df.withColumn(geometry, F.transform(g, lambda ring: reproject(ring, there)))
+    return _moved(df, geometry, lambda x, y: projection.forward(x, y, srid), lambda g: projection.forward_line(g, srid))
 
 
 def flatten_sets(df: DataFrame) -> DataFrame:
@@ -72,10 +63,10 @@ def write_geojson(df: DataFrame, path: str, srid: int, geometry: str = "geometry
 
 
 def csv_rows(df: DataFrame, srid: int, geometry: str = "geometry") -> DataFrame:
-    """K2: geometry as WKT in degrees, sets as text."""
+    """K2: geometry as WKT in degrees (twelve decimals, far below a millimetre), sets as text."""
     flat = flatten_sets(to_lonlat(df, srid, geometry))
     text = point_wkt if kind_of(df, geometry) == "Point" else line_wkt
-    return flat.withColumn(geometry, text(F.col(geometry)))
+    return flat.withColumn(geometry, text(F.col(geometry), 12))
 
 
 def write_csv(df: DataFrame, path: str, srid: int, geometry: str = "geometry") -> None:
