@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainmark.constants import LINE_START_KM, TLX_END_KM
-from chainmark.operators.scale import BROADCAST_BYTES, HOT_ROWS, _join, lookup_join
+from chainmark.operators.scale import BROADCAST_BYTES, HOT_ROWS, _join, lookup_join, row_bytes
 
 CROWDED = 64
 
 
-def first_start_wins(intervals: DataFrame, line: str, start: str, end: str, ident: str, block_km: float = 1.0) -> DataFrame:
+def first_start_wins(intervals: DataFrame, line: str, start: str, end: str, ident: str, block: float = 1024.0) -> DataFrame:
     """O3: cut overlapping intervals into disjoint ones, the earliest (start, id) winning everywhere.
 
     All intervals before one in this order start no later, so what is left of it is the part beyond the
@@ -21,7 +21,7 @@ def first_start_wins(intervals: DataFrame, line: str, start: str, end: str, iden
     one task. ``_open`` tells that the left end belongs to the interval before.
     """
     order = [start, ident]
-    blocked = intervals.withColumn("_block", F.floor(F.col(start) / F.lit(block_km)))
+    blocked = intervals.withColumn("_block", F.floor(F.col(start) / F.lit(block)))
     earlier = Window.partitionBy(line).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     reach = blocked.groupBy(line, "_block").agg(F.max(end).alias("_reach")).select(
         line, "_block", F.max("_reach").over(earlier).alias("_reach"))
@@ -64,7 +64,7 @@ def interval_join(
     shape = clean.agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col(end) - F.col(start)).alias("mean"),
         F.sum(F.col(end) - F.col(start)).alias("total"),
-        F.coalesce(F.max(F.octet_length(F.col(ident).cast("string"))), F.lit(0)).alias("text"),
+        F.coalesce(F.max(row_bytes(clean)), F.lit(0)).alias("widest"),
     ).first()
     if width is None:
         width = max(shape["mean"] or 1.0, 1e-6)
@@ -78,9 +78,8 @@ def interval_join(
     most = 0
     if shape["n"] > CROWDED:
         most = clean.groupBy(line, F.floor(scaled(F.col(end))).alias("_bin")).count().agg(F.max("count").alias("m")).first()["m"]
-    row_bytes = 80 + 16 * len(carry) + shape["text"]
 
-    parts = first_start_wins(clean, line, start, end, ident)
+    parts = first_start_wins(clean, line, start, end, ident, width * 1024)
     parts = parts.where((F.col("_lo") < F.col("_hi")) | (F.lit(closed) & ~F.col("_open") & (F.col("_lo") == F.col("_hi"))))
     parts = parts.select(line, "_lo", "_hi", "_open", *kept)
     binned = parts.withColumn("_bin", F.explode(F.sequence(F.floor(scaled(F.col("_lo"))), F.floor(scaled(F.col("_hi"))))))
@@ -103,7 +102,7 @@ def interval_join(
         keys, rows = keys + ["_sub"], 2 * rows
     right = F.col(at) <= F.col("_hi") if closed else F.col(at) < F.col("_hi")
     left = (F.col(at) > F.col("_lo")) | ((F.col(at) == F.col("_lo")) & ~F.col("_open")) if closed else F.col(at) >= F.col("_lo")
-    joined = lookup_join(points, binned, keys, left & right, "left", limit_bytes, hot_rows, rows * row_bytes)
+    joined = lookup_join(points, binned, keys, left & right, "left", limit_bytes, hot_rows, rows * (48 + shape["widest"]))
     return joined.drop("_bin", "_sub", "_lo", "_hi", "_open")
 
 

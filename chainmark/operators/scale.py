@@ -29,10 +29,15 @@ def _width(kind: T.DataType, col: Column) -> Column:
     return F.lit(8)
 
 
+def row_bytes(df: DataFrame, names: Sequence[str] | None = None) -> Column:
+    """Bytes a row takes, from its values."""
+    fields = [f for f in df.schema if names is None or f.name in names]
+    return reduce(lambda a, b: a + b, [_width(f.dataType, F.col(f"`{f.name}`")) for f in fields], F.lit(16)).cast("long")
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes the rows really take, by one aggregation over them."""
-    row = reduce(lambda a, b: a + b, [_width(f.dataType, F.col(f"`{f.name}`")) for f in df.schema], F.lit(16))
-    return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("b")).first()["b"]
+    """Bytes all rows take, by one aggregation over them."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
 
 
 def lookup_join(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainmark.functions.geometry import point
-from chainmark.operators.scale import BROADCAST_BYTES, HOT_ROWS, _join, lookup_join, measured_bytes, salted_join
+from chainmark.operators.scale import BROADCAST_BYTES, HOT_ROWS, lookup_join, row_bytes, salted_join
 from chainmark.session import checkpointed
 
 CELL_EDGES = 2048
@@ -72,10 +72,11 @@ def nearest_edge(
             fields.append((e["m0"] + share * (e["m1"] - e["m0"])).alias("measure"))
         return F.struct(*fields, fx.alias("x"), fy.alias("y"))
 
-    crowd = listed.groupBy(*keys).count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("m"), F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()
+    per_cell = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.sum(row_bytes(listed)) + 64).alias("b"))
+    crowd = per_cell.agg(F.coalesce(F.max("n"), F.lit(0)).alias("m"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
     if crowd["m"] <= cell_edges:
         packed = listed.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in names if c not in by])).alias("_edges"))
-        joined = lookup_join(placed, packed, keys, None, "left", limit_bytes, hot_rows, crowd["n"] * (40 + 24 * len(names)))
+        joined = lookup_join(placed, packed, keys, None, "left", limit_bytes, hot_rows, crowd["b"])
         options = F.filter(F.transform("_edges", lambda e: answer(e, x, y)), lambda a: a["dist"] <= radius)
         return joined.withColumn(out, F.array_min(options)).drop("_edges", "_cx", "_cy")
     # Crowded cells: ask once per distinct position, reduce before the shuffle, then look the answers up.

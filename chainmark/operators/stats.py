@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from chainmark.constants import SPEED_MEASURES, WEAR_MEASURES
 from chainmark.functions.columns import class_key
 from chainmark.functions.condition import flag_columns, status_level, status_score, status_string
-from chainmark.operators.scale import HOT_ROWS, lookup_join
+from chainmark.operators.scale import lookup_join
 from chainmark.session import checkpointed
 
+# Largest group whose values one task may hold for exact percentiles: six measures of distinct doubles.
+GROUP_ROWS = 1_000_000
 PROBS = {"p50": 0.5, "p75": 0.75, "p90": 0.9}
 
 
@@ -114,7 +116,7 @@ def split_percentiles(points: DataFrame, measures: Mapping[str, str], key: str =
 
 def measure_stats(
     points: DataFrame, measures: Mapping[str, str], key: str = "section_id", missing: str = "propagate",
-    approx: bool = False, row_bound: int | None = None, hot_rows: int = HOT_ROWS,
+    approx: bool = False, row_bound: int | None = None, hot_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Count, min, max, mean, population deviation and p50/p75/p90 per group.
 

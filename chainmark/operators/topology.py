@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,35 +45,54 @@ def _cell(x: Column, y: Column, size: float) -> Column:
     return F.struct(F.floor(x / size).alias("cx"), F.floor(y / size).alias("cy"))
 
 
+def _boxes(spots: DataFrame, size: float, level: int) -> DataFrame:
+    """Box of the positions in each sub-cell, with the sub-cell it lies in one level up."""
+    c = F.col
+    placed = spots.select("cell", "x", "y", _cell(c("x"), c("y"), size / FINE ** (level - 1)).alias("up"), _cell(c("x"), c("y"), size / FINE ** level).alias("sub"))
+    return placed.groupBy("cell", "up", "sub").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+
+
+def _facing(boxes: DataFrame) -> DataFrame:
+    """The same boxes under names for the other side of a pair."""
+    names = {"cell": "other", "up": "other_up", "sub": "other_sub", "x0": "ox0", "x1": "ox1", "y0": "oy0", "y1": "oy1"}
+    return boxes.select(*[F.col(a).alias(b) for a, b in names.items()])
+
+
+def _judged(pairs: DataFrame, radius: float) -> DataFrame:
+    """Pairs of boxes that can be within the radius; ``sure`` where all their positions are."""
+    c, zero, limit = F.col, F.lit(0.0), radius * radius
+    gap_x, gap_y = F.greatest(c("ox0") - c("x1"), c("x0") - c("ox1"), zero), F.greatest(c("oy0") - c("y1"), c("y0") - c("oy1"), zero)
+    far_x, far_y = F.greatest(c("ox1") - c("x0"), c("x1") - c("ox0")), F.greatest(c("oy1") - c("y0"), c("y1") - c("oy0"))
+    near = pairs.where(gap_x * gap_x + gap_y * gap_y <= limit)
+    return near.select("cell", "other", "sub", "other_sub", (far_x * far_x + far_y * far_y <= limit).alias("sure"))
+
+
 def cell_links(spots: DataFrame, radius: float) -> DataFrame:
     """Pairs of grid cells that hold positions within ``radius`` of each other; ``spots`` has x, y, cell.
 
     A cell's diagonal is below the radius, so its own positions belong together without looking at pairs.
-    Neighbouring cells are compared through the boxes of their sub-cells first; only sub-cells whose boxes
-    leave it open are compared position by position, and only where their cells are not linked yet.
+    Neighbouring cells are compared through the boxes of their 64 sub-cells: a pair of boxes lies within the
+    radius, or beyond it, or is open. Open pairs, of cells not linked yet, are split again, until each box is
+    one position and nothing is open. No step pairs positions, however many a cell holds.
     """
     size = radius / math.sqrt(2.0) * (1 - 1e-9)
-    fine = spots.withColumn("fine", _cell(F.col("x"), F.col("y"), size / FINE)).groupBy("cell", "fine").agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    boxes = _boxes(spots, size, 1)
     half = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
-    near = F.array(*[F.struct((F.col("cell.cx") + dx).alias("cx"), (F.col("cell.cy") + dy).alias("cy")) for dx, dy in half])
-    left = fine.withColumn("other", F.explode(near))
-    right = fine.select(F.col("cell").alias("other"), F.col("fine").alias("ofine"), *[F.col(c).alias(f"o{c}") for c in ("x0", "x1", "y0", "y1")])
-    pairs = left.join(right, "other")
-    c = F.col
-    zero = F.lit(0.0)
-    gap_x, gap_y = F.greatest(c("ox0") - c("x1"), c("x0") - c("ox1"), zero), F.greatest(c("oy0") - c("y1"), c("y0") - c("oy1"), zero)
-    far_x, far_y = F.greatest(c("ox1") - c("x0"), c("x1") - c("ox0")), F.greatest(c("oy1") - c("y0"), c("y1") - c("oy0"))
-    limit = radius * radius
-    pairs = pairs.where(gap_x * gap_x + gap_y * gap_y <= limit).withColumn("sure", far_x * far_x + far_y * far_y <= limit)
-    sure = pairs.where("sure").select("cell", "other").distinct()
-    unsure = pairs.where("not sure").select("cell", "fine", "other", "ofine").join(sure, ["cell", "other"], "left_anti")
-    placed = spots.select("cell", _cell(c("x"), c("y"), size / FINE).alias("fine"), "x", "y")
-    a = lookup_join(unsure, placed, ["cell", "fine"], how="inner")
-    b = placed.select(c("cell").alias("other"), c("fine").alias("ofine"), c("x").alias("ox"), c("y").alias("oy"))
-    dx, dy = c("x") - c("ox"), c("y") - c("oy")
-    met = lookup_join(a, b, ["other", "ofine"], dx * dx + dy * dy <= limit, "inner").select("cell", "other").distinct()
-    return sure.unionByName(met).select(c("cell").alias("u"), c("other").alias("v"))
+    around = F.array(*[F.struct((F.col("cell.cx") + dx).alias("cx"), (F.col("cell.cy") + dy).alias("cy")) for dx, dy in half])
+    judged = checkpointed(_judged(boxes.withColumn("other", F.explode(around)).join(_facing(boxes), "other"), radius))
+    linked, level = [judged.where("sure").select("cell", "other").distinct()], 1
+    while True:
+        still = judged.where("not sure").select("cell", "other", F.col("sub").alias("up"), F.col("other_sub").alias("other_up"))
+        still = still.join(linked[-1], ["cell", "other"], "left_anti")
+        if still.limit(1).count() == 0:
+            break
+        level += 1
+        boxes = checkpointed(_boxes(spots, size, level))
+        split = lookup_join(still, boxes, ["cell", "up"], how="inner")
+        split = lookup_join(split, _facing(boxes), ["other", "other_up"], how="inner")
+        judged = checkpointed(_judged(split, radius))
+        linked.append(judged.where("sure").select("cell", "other").distinct())
+    return reduce(lambda a, b: a.unionByName(b), linked).select(F.col("cell").alias("u"), F.col("other").alias("v"))
 
 
 def merge_positions(spots: DataFrame, radius: float) -> DataFrame:

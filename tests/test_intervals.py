@@ -73,8 +73,15 @@ def test_join_plans(spark, sf_dir):
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text and "Python" not in text
     # The join on (line, bin) is above everything else: the measurements are not exchanged before it.
     assert text.index("BroadcastHashJoin [line_id") < text.index("Exchange")
-    shuffled = plan(C.j3_interval_join_shuffled(spark, sf_dir))
-    assert "BroadcastNestedLoopJoin" not in shuffled and "SortMergeJoin" in shuffled
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = plan(C.j3_interval_join_shuffled(spark, sf_dir))
+        assert "BroadcastNestedLoopJoin" not in shuffled
+        keys = [line for line in shuffled.splitlines() if "SortMergeJoin" in line and "_salt" in line]
+        assert keys and all("_bin" in line for line in keys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_one_fact_shuffle_for_statistics(spark, sf_dir):
