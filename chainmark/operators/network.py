@@ -184,21 +184,29 @@ def _edge_rows(edges: DataFrame, prefix: str, specification: Column, leg: bool,
 def edge_tables(
     edges: DataFrame, ids: DataFrame, roles: Mapping[str, set[str]],
     cable_specs: Sequence[tuple[str, int, int | None, str]], duct_specs: Sequence[tuple[str, int, int | None, str]],
+    wanted: Sequence[str] = ("assignments", "ducts", "cables"),
 ) -> dict[str, DataFrame]:
-    """Assignments, ducts and cables as three independent projections of the edges; ``tags`` and ``arcs`` are kept."""
+    """Assignments, ducts and cables as independent projections of the edges; ``tags`` and ``arcs`` are kept."""
     named = checkpointed(_with_ids(edges, ids))
 
     def having(role: str) -> DataFrame:
         return named.where(has_any(F.col("tags"), sorted(roles.get(role, set()))) if roles.get(role) else F.lit(False))
 
-    # A cable without a specification stays in the table; the marker keeps it through the filter.
-    cable_spec = spec_of(F.col("tags"), F.col("size"), cable_specs)
-    cables = _edge_rows(having("SOLUTION_EDGE"), ID_PREFIXES["cables"], F.when(cable_spec == "", " ").otherwise(cable_spec), True, False)
-    return {
-        "assignments": _edge_rows(having("SOLUTION_ASSIGN"), ID_PREFIXES["assignments"], F.lit(ASSIGNMENT_SPEC), False, False),
-        "ducts": _edge_rows(having("SOLUTION_DUCT"), ID_PREFIXES["ducts"], spec_of(F.col("tags"), F.col("size"), duct_specs), False, True),
-        "cables": cables.withColumn("specification", F.trim("specification")),
-    }
+    def assignments() -> DataFrame:
+        return _edge_rows(having("SOLUTION_ASSIGN"), ID_PREFIXES["assignments"], F.lit(ASSIGNMENT_SPEC), False, False)
+
+    def ducts() -> DataFrame:
+        spec = spec_of(F.col("tags"), F.col("size"), duct_specs)
+        return _edge_rows(having("SOLUTION_DUCT"), ID_PREFIXES["ducts"], spec, False, True)
+
+    def cables() -> DataFrame:
+        # A cable without a specification stays in the table; the blank keeps it through the filter.
+        spec = spec_of(F.col("tags"), F.col("size"), cable_specs)
+        rows = _edge_rows(having("SOLUTION_EDGE"), ID_PREFIXES["cables"], F.when(spec == "", " ").otherwise(spec), True, False)
+        return rows.withColumn("specification", F.trim("specification"))
+
+    makers = {"assignments": assignments, "ducts": ducts, "cables": cables}
+    return {name: makers[name]() for name in wanted}
 
 
 def path_from_cables(cables: DataFrame) -> DataFrame:

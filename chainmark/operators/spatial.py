@@ -60,9 +60,10 @@ def nearest_edge(
     cell = 2.0 * radius
     keys = [*by, "_cx", "_cy"]
     names = list(dict.fromkeys([*rank, *carry, "seq", "x1", "y1", "x2", "y2", *(c for c in ("m0", "m1") if c in edges.columns)]))
-    listed = edge_cells(edges.select(*[c for c in names if c not in by], *by), radius, cell)
-    x, y = F.col(f"{geometry}.x"), F.col(f"{geometry}.y")
-    placed = points.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
+    listed = checkpointed(edge_cells(edges.select(*[c for c in names if c not in by], *by), radius, cell))
+    x, y = F.col("_px"), F.col("_py")
+    placed = points.withColumns({"_px": F.col(f"{geometry}.x"), "_py": F.col(f"{geometry}.y")})
+    placed = placed.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
 
     def answer(e, px: Column, py: Column) -> Column:
         share, dist, fx, fy = _foot(px, py, e)
@@ -78,17 +79,16 @@ def nearest_edge(
         packed = listed.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in names if c not in by])).alias("_edges"))
         joined = lookup_join(placed, packed, keys, None, "left", limit_bytes, hot_rows, crowd["b"])
         options = F.filter(F.transform("_edges", lambda e: answer(e, x, y)), lambda a: a["dist"] <= radius)
-        return joined.withColumn(out, F.array_min(options)).drop("_edges", "_cx", "_cy")
+        return joined.withColumn(out, F.array_min(options)).drop("_edges", "_cx", "_cy", "_px", "_py")
     # Crowded cells: ask once per distinct position, reduce before the shuffle, then look the answers up.
-    spots = placed.select(*by, "_cx", "_cy", x.alias("_px"), y.alias("_py")).distinct()
+    spots = placed.select(*by, "_cx", "_cy", "_px", "_py").distinct()
     pairs = salted_join(spots, listed.withColumn("_e", F.struct(*[c for c in names if c not in by])).select(*keys, "_e"),
                         keys, None, "inner", max(hot_rows // crowd["m"], 1))
     best = (
-        pairs.withColumn("_a", answer(F.col("_e"), F.col("_px"), F.col("_py"))).where(F.col("_a.dist") <= radius)
+        pairs.withColumn("_a", answer(F.col("_e"), x, y)).where(F.col("_a.dist") <= radius)
         .groupBy(*by, "_px", "_py").agg(F.min("_a").alias(out))
     )
-    back = placed.withColumns({"_px": x, "_py": y}).drop("_cx", "_cy")
-    return lookup_join(back, best, [*by, "_px", "_py"], limit_bytes=limit_bytes, hot_rows=hot_rows).drop("_px", "_py")
+    return lookup_join(placed.drop("_cx", "_cy"), best, [*by, "_px", "_py"], limit_bytes=limit_bytes, hot_rows=hot_rows).drop("_px", "_py")
 
 
 def locate(
@@ -173,6 +173,13 @@ def nearest_segment(
     }).drop("_near")
 
 
+def switch_rows(points: DataFrame) -> DataFrame:
+    """Switch table in its output form, from the surveyed list; positions from eastings and northings if need be."""
+    if "geometry" not in points.columns:
+        points = points.withColumn("geometry", point(F.col("Easting"), F.col("Northing")))
+    return points.select(F.col("Name").alias("id"), F.col("Offset").alias("offset"), F.col("`Chainage 12d (m)`").alias("chainage"), "geometry")
+
+
 def switch_ids(segments: DataFrame, switches: DataFrame) -> DataFrame:
     """Ids of the switches at each segment, distinct and sorted; an empty list where there are none."""
     listed = (
@@ -209,16 +216,17 @@ def clip_points(points: DataFrame, areas: DataFrame, area: str = "area_id", geom
         .groupBy("_band", "_column", area).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_ring"))
         .groupBy("_band", "_column").agg(F.collect_list("_ring").alias("_rings"))
     )
-    x, y = F.col(f"{geometry}.x"), F.col(f"{geometry}.y")
+    x, y = F.col("_px"), F.col("_py")
 
     def crosses(e) -> Column:
         spans_y = (e["y1"] > y) != (e["y2"] > y)
         return spans_y & (x < e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"]))
 
-    celled = points.withColumns({"_band": F.floor(y / band), "_column": F.floor(x / column)})
+    celled = points.withColumns({"_px": F.col(f"{geometry}.x"), "_py": F.col(f"{geometry}.y")})
+    celled = celled.withColumns({"_band": F.floor(y / band), "_column": F.floor(x / column)})
     joined = lookup_join(celled, listed, ["_band", "_column"], how="inner")
     inside = F.exists("_rings", lambda ring: F.size(F.filter(ring, crosses)) % 2 == 1)
-    return joined.where(inside).drop("_band", "_column", "_rings")
+    return joined.where(inside).drop("_band", "_column", "_rings", "_px", "_py")
 
 
 def clip_lines(lines: DataFrame, areas: DataFrame, key: str, area: str = "area_id", geometry: str = "pts", cell: float | None = None) -> DataFrame:

@@ -56,7 +56,7 @@ def run(
 ) -> Condition:
     """All stages as one plan; only lines, segments and sections, all small, are written in between.
 
-    ``centreline`` has Layer and geometry, ``switch_points`` id and geometry, ``attributes`` the rows of all
+    ``centreline`` has Layer and geometry, ``switch_points`` the surveyed list or id and geometry, ``attributes`` the rows of all
     segment tables, ``curves`` the curve and tangent table, and ``rp``/``tg`` raw or cleaned measurements. All
     geometry is in working coordinates except that of raw measurements, which is in degrees.
     """
@@ -67,10 +67,16 @@ def run(
     segments = linear.chainage_segments(edges, chainages)
     segments = sections.checked_attributes(sections.with_attributes(segments, attributes))
     segments = checkpointed(sections.with_centroid(segments, srid))
+    if "Name" in switch_points.columns:
+        switch_points = spatial.switch_rows(switch_points)
     switches = spatial.nearest_segment(switch_points, segments, LINES)
     segments = spatial.switch_ids(segments, switches)
 
-    curve_rows = checkpointed(sections.build_sections(cleaning.prepare_sections(curves), segments, edges, srid))
+    # A table read from a file numbers its rows; the one numbered 0 repeats the header and is left out.
+    numbered = "seq" in curves.columns
+    curves = curves if numbered else curves.withColumn("seq", F.monotonically_increasing_id())
+    curve_table = cleaning.prepare_sections(curves, skip_first_row=numbered)
+    curve_rows = checkpointed(sections.build_sections(curve_table, segments, edges, srid))
     rp_points = intervals.assign_sections(cleaning.clean_measurements(rp, srid), curve_rows)
     tg_points = intervals.assign_sections(cleaning.clean_measurements(tg, srid), curve_rows)
     tg_sections = stats.with_section(stats.tg_stats(tg_points), curve_rows)
@@ -79,6 +85,12 @@ def run(
     return Condition(lines, segments, switches, curve_rows, rp_points, tg_points, rp_sections, tg_sections, spatial.snap(poi, edges))
 
 
+def write_cleaned(result: Condition, folder: str, srid: int = 28350) -> None:
+    """K4: the cleaned measurement tables, so that later runs start from them."""
+    sinks.write_measurements(result.rp_points.drop("section_id"), f"{folder}/rp_data", srid)
+    sinks.write_measurements(result.tg_points.drop("section_id"), f"{folder}/tg_data", srid)
+
+
 def write_outputs(result: Condition, folder: str, srid: int = 28350) -> None:
     """K1-K3: segment layers per line, points of interest, switches, and section layers with their tables."""
     for line in LINES:

@@ -11,7 +11,8 @@ from chainmark.operators.cleaning import prepare_sections
 from chainmark.plans import standins as S
 from chainmark.plans.registry import query
 from chainmark.plans.standins import q, q_sql
-from chainmark.session import checkpointed
+from chainmark.session import checkpointed, scratch_path
+from chainmark.sources.database import clipped_layer
 from chainmark.sources.layers import poi
 
 WITH_EDGES = f"with {S.EDGES_SQL} "
@@ -233,6 +234,16 @@ def g14_clip_points(spark, sf_dir):
     return spatial.clip_points(S.spots(spark, sf_dir), areas(spark, sf_dir)).select("spot_id")
 
 
+@query("s12_clipped_layer", f"with {S.SPOTS_SQL}, {_AREAS_SQL}, crossed as (select s.spot_id, s.line_id, e.area_id, count(*) as n from spots s join rings e "
+       "on (e.y1 > s.y) <> (e.y2 > s.y) and s.x < e.x1 + (s.y - e.y1) / (e.y2 - e.y1) * (e.x2 - e.x1) group by 1, 2, 3) "
+       "select line_id, count(distinct spot_id) as n from crossed where n % 2 = 1 group by 1")
+def s12_clipped_layer(spark, sf_dir):
+    """A shared layer clipped to the areas, stored, and read back."""
+    path = scratch_path(spark, "clipped")
+    stored = clipped_layer(spark, S.spots(spark, sf_dir), areas(spark, sf_dir), path, "Point", key="spot_id")
+    return stored.groupBy("line_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("g14_clip_lines", f"""with {S.EDGES_SQL}, {_AREAS_SQL}, ends as (select line_id, seq, x1 as x, y1 as y from sized union all select line_id, seq, x2, y2 from sized),
 inside as (select line_id, seq from (select v.line_id, v.seq, v.x, e.area_id, count(*) as n from ends v join rings e
     on (e.y1 > v.y) <> (e.y2 > v.y) and v.x < e.x1 + (v.y - e.y1) / (e.y2 - e.y1) * (e.x2 - e.x1) group by 1, 2, 3, 4) where n % 2 = 1),

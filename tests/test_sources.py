@@ -109,7 +109,8 @@ def test_whole_run(spark, tmp_path):
     assert {r["line_id"]: [tuple(p) for p in r["pts"]] for r in lines.collect()}["TLX"] == [(0.0, 0.0), (2000.0, 0.0)]
     ids = [f"CHAIN-{n}-S-{a:05d}-E-{a + 1:05d}-MAINLINE" for n, start, k in (("MLX", 249, 20), ("MLX", 269, 45), ("SML", 1740, 30), ("EML", 2887, 10)) for a in range(start, start + k)]
     attributes = spark.createDataFrame([(i, int(i[12:17]) / 10, int(i[12:17]) / 10 + 0.1, "x") for i in ids], "`Chainage ID` string, `Chainage Start (km)` double, `Chainage End (km)` double, `2024` string")
-    switches = spark.createDataFrame([("sw1", (150.0, 40.0)), ("sw2", (2150.0, -40.0)), ("sw3", (150.0, 900.0))], "id string, geometry struct<x:double,y:double>")
+    switches = spark.createDataFrame([("sw1", 1.0, 0.5, 150.0, 40.0), ("sw2", 2.0, 0.5, 2150.0, -40.0), ("sw3", 3.0, 0.5, 150.0, 900.0)],
+                                     "Name string, `Chainage 12d (m)` double, Offset double, Easting double, Northing double")
     curves = spark.createDataFrame([
         ("c0", "LINE", "1", "2", "Tangent", None), ("c1", "MN", "25.0", "26.0", "Tangent", None), ("c2", "MN", "26.5", "27.5", "Mild Curve", "RH"),
         ("c3", "SL", "174.0", "175.5", "Sharp Curve", "LH"), ("c4", "EL", "200", "201", "Tangent", None)],
@@ -127,6 +128,10 @@ def test_whole_run(spark, tmp_path):
     assert {r["section_id"]: r["geometry"] is None for r in result.sections.collect()} == {"c1": False, "c2": False, "c3": False, "c4": True}
     found = {r["id"]: r["chainage_id"] for r in result.switches.collect()}
     assert found == {"sw1": "CHAIN-TLX-S-00250-E-00251-MAINLINE", "sw2": "CHAIN-MLX-S-00270-E-00271-MAINLINE", "sw3": None}
+    assert sorted(result.switches.columns) == sorted(["id", "offset", "chainage", "geometry", "segment_line_id", "chainage_id", "distance"])
+    condition_run.write_cleaned(result, str(tmp_path))
+    again = tables.read_measurements(spark, str(tmp_path / "rp_data"))
+    assert cleaning.clean_measurements(again).count() == 10 and again.where("line_id = 'SML'").count() == 4
     condition_run.write_outputs(result, str(tmp_path))
     assert layers.feature_texts(spark, str(tmp_path / "mlx_segments.geojson")).count() == result.segments.where("line_id = 'MLX'").count()
     assert spark.read.option("header", True).csv(str(tmp_path / "rp_sections.csv")).count() == 3
