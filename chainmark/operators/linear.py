@@ -29,7 +29,7 @@ def edge_table(lines: DataFrame, round_digits: int | None = None) -> DataFrame:
         unit = float(10 ** round_digits)
         length = F.floor(length * unit + 0.5) / F.lit(unit)
     edges = edges.select(
-        "line_id", "seq", "x1", "y1", F.col("q.x").alias("x2"), F.col("q.y").alias("y2"), length.alias("_len"))
+        "line_id", F.col("seq").cast("long").alias("seq"), "x1", "y1", F.col("q.x").alias("x2"), F.col("q.y").alias("y2"), length.alias("_len"))
     edges = running_sum(edges, ["line_id"], "seq", "_len", "m0")
     return (
         edges.where(F.col("_len") > 0).withColumn("m1", F.col("m0") + F.col("_len"))
@@ -46,7 +46,7 @@ def zero_length_edges(lines: DataFrame) -> DataFrame:
         lambda s: s["same"])
     return (
         lines.where(F.size(pts) > 1).select("line_id", F.explode(repeats).alias("r"))
-        .select("line_id", F.col("r.seq").alias("seq"))
+        .select("line_id", F.col("r.seq").cast("long").alias("seq"))
     )
 
 
@@ -55,6 +55,12 @@ def line_totals(edges: DataFrame) -> DataFrame:
     return edges.groupBy("line_id").agg(F.sum(F.col("m1") - F.col("m0")).alias("length"))
 
 
+def normalised(rows: DataFrame, edges: DataFrame, measure: str = "measure", out: str = "share") -> DataFrame:
+    """A measure as a share of its line's length, from 0 to 1."""
+    totals = line_totals(edges).withColumnRenamed("length", "_length")
+    return lookup_join(rows, totals, ["line_id"]).withColumn(out, F.col(measure) / F.col("_length")).drop("_length")
+
+
 def lengths_per_line(layer: DataFrame, geometry: str = "pts") -> DataFrame:
     """Number of features and total length per line."""
     from chainmark.functions.geometry import line_length
@@ -168,7 +174,7 @@ def cut_lines(lines_edges: DataFrame, cuts: DataFrame) -> DataFrame:
     along = Window.partitionBy("line_id").orderBy("a")
     pieces = (
         starts.withColumn("b", F.lead("a").over(along))
-        .withColumn("piece", F.row_number().over(along) - 1)
+        .withColumn("piece", (F.row_number().over(along) - 1).cast("long"))
     )
     pieces = lookup_join(pieces, totals, ["line_id"], how="inner")
     pieces = pieces.select("line_id", "piece", "a", F.coalesce("b", "length").alias("b"))

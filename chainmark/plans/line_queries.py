@@ -38,7 +38,7 @@ def g3_zero_length_edges(spark, sf_dir):
     return linear.zero_length_edges(rough)
 
 
-@query("g4_lengths", WITH_EDGES + f"select line_id, 1 as features, {q_sql('length', 3)} as length from totals")
+@query("g4_lengths", WITH_EDGES + f"select line_id, cast(1 as bigint) as features, {q_sql('length', 3)} as length from totals")
 def g4_lengths(spark, sf_dir):
     return linear.lengths_per_line(S.lines(spark, sf_dir)).select("line_id", "features", q(F.col("length"), 3).alias("length"))
 
@@ -56,6 +56,14 @@ def g5_locate(spark, sf_dir):
     return found.select("spot_id", q(F.col("near.dist"), 4).alias("dist"), q(F.col("near.measure"), 4).alias("measure"))
 
 
+@query("g5_normalised", f"with {S.EDGES_SQL}, {S.SPOTS_SQL}, {S.NEAR_SQL.format(on='e.line_id = s.line_id', where='')} "
+       f"select s.spot_id, {q_sql('near.near.measure / t.length', 8)} as share from spots s left join near on near.spot_id = s.spot_id and near.near.dist <= 300 join totals t on t.line_id = s.line_id")
+def g5_normalised(spark, sf_dir):
+    e = stored_edges(spark, sf_dir)
+    found = spatial.locate(S.spots(spark, sf_dir), e, max_distance=300.0).withColumn("measure", F.col("near.measure"))
+    return linear.normalised(found, e).select("spot_id", q(F.col("share"), 8).alias("share"))
+
+
 _SNAP = f"""with {S.EDGES_SQL}, {S.SPOTS_SQL}, {S.NEAR_SQL.format(on='abs(e.y1 - s.y) < 25000', where='')}
 select s.spot_id, case when near.dist <= 150 then near.line end as snapped_line_id,
   case when near.dist <= 150 then {q_sql('near.measure', 4)} end as measure,
@@ -110,7 +118,7 @@ shapes as (select line_id, {key}, count(*) + 1 as vertices, sum(t - f) as length
 
 def _shape(df, key):
     p = F.col("pts")
-    return df.select("line_id", key, F.size(p).alias("vertices"), q(G.line_length(p), 3).alias("length"),
+    return df.select("line_id", key, F.size(p).cast("long").alias("vertices"), q(G.line_length(p), 3).alias("length"),
                      q(F.get(p, F.lit(0))["x"], 3).alias("first_x"), q(F.element_at(p, -1)["y"], 3).alias("last_y"))
 
 
@@ -140,7 +148,7 @@ def g9_by_chainage(spark, sf_dir):
 
 
 @query("g9_chord", f"with {S.EDGES_SQL}, {S.SECTIONS_SQL}, {_RANGES_SQL}, {_pieces_sql('ranges', 'section_id')} "
-       f"select line_id, section_id, 2 as vertices, {q_sql('first_x', 3)} as first_x, {q_sql('last_y', 3)} as last_y from shapes")
+       f"select line_id, section_id, cast(2 as bigint) as vertices, {q_sql('first_x', 3)} as first_x, {q_sql('last_y', 3)} as last_y from shapes")
 def g9_chord(spark, sf_dir):
     s = S.sections(spark, sf_dir).where("start_km < 450")
     ranges = s.select("line_id", "section_id", (F.col("end_km") * 1003 + 0.25).alias("a"), (F.col("start_km") * 1001 + 0.25).alias("b"))
@@ -206,7 +214,7 @@ def f10_mismatched(spark, sf_dir):
 @query("g12_join_loop", WITH_EDGES + ", lists as (select line_id, count(*) as n from vertices group by 1) select line_id, 2 * n - 2 as vertices from lists".replace(", lists", ", lists", 1))
 def g12_join_loop(spark, sf_dir):
     p = F.col("pts")
-    return S.lines(spark, sf_dir).select("line_id", F.size(G.join_loop(p, F.reverse(p))).alias("vertices"))
+    return S.lines(spark, sf_dir).select("line_id", F.size(G.join_loop(p, F.reverse(p))).cast("long").alias("vertices"))
 
 
 @query("g13_centroids", WITH_EDGES + f"select line_id, {q_sql('sum(len * (x1 + x2) / 2) / sum(len)', 3)} as x, {q_sql('sum(len * (y1 + y2) / 2) / sum(len)', 3)} as y from sized group by 1")
@@ -333,7 +341,7 @@ def g17_section_shapes(spark, sf_dir):
     e = stored_edges(spark, sf_dir)
     segments = checkpointed(linear.chainage_segments(e, LINE_CHAINAGES).drop("geometry"))
     built = sec.build_sections(_curves(spark, sf_dir), segments, e)
-    return built.select("line_id", "section_id", F.when(F.col("geometry").isNotNull(), F.size("geometry")).alias("vertices"), q(G.line_length(F.col("geometry")), 2).alias("length"))
+    return built.select("line_id", "section_id", F.when(F.col("geometry").isNotNull(), F.size("geometry")).cast("long").alias("vertices"), q(G.line_length(F.col("geometry")), 2).alias("length"))
 
 
 @query("j8_lost_ends", f"with {_G17_SQL} select section_id, is_end as \"end\", line_id from measured where m is null")
@@ -353,7 +361,7 @@ def w2_running_distance(spark, sf_dir):
     return scale.running_sum(o, ["line"], "seq", "o_totalprice", "before", block=256).select("line", "seq", q(F.col("before"), 2).alias("before"))
 
 
-@query("f2_poi_by_name", "select p_partkey, case when p_partkey % 2 = 0 then 662669.066 else 664948.312 end as x from part where p_partkey % 3 < 2 and p_partkey % 2 = p_partkey % 2")
+@query("f2_poi_by_name", "select p_partkey, cast(case when p_partkey % 2 = 0 then 662669.066 else 664948.312 end as double) as x from part where p_partkey % 3 < 2 and p_partkey % 2 = p_partkey % 2")
 def f2_poi_by_name(spark, sf_dir):
     wanted = F.when(F.col("p_partkey") % 2 == 0, "origin").otherwise("mainline_start")
     named = poi(spark).select("name", F.col("geometry.x").alias("x"))

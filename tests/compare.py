@@ -10,6 +10,8 @@ import duckdb
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 
 def duck(sf_dir: str):
     con = duckdb.connect()
@@ -40,11 +42,14 @@ def compare(spark, sf_dir: str, build, sql: str) -> str:
     df = build(spark, sf_dir)
     names, ours = rows_of(df.columns, [tuple(r) for r in df.collect()])
     con = duck(sf_dir)
-    cursor = con.execute(sql)
-    other_names, theirs = rows_of([d[0] for d in cursor.description], cursor.fetchall())
+    relation = con.sql(sql)
+    other_names, theirs = rows_of(relation.columns, relation.fetchall())
     if names != other_names:
         return f"columns {names} / {other_names}"
-    kinds = {n: t for n, t in df.dtypes}
+    kinds = {n: KINDS.get(t, t) for n, t in df.dtypes}
+    other_kinds = {n: str(t) for n, t in zip(relation.columns, relation.types)}
+    if kinds != other_kinds:
+        return f"types { {n: (kinds[n], other_kinds[n]) for n in kinds if kinds[n] != other_kinds[n]} }"
     if ours != theirs:
         return (f"rows {sum(ours.values())} / {sum(theirs.values())}; only ours {list((ours - theirs).items())[:3]}; "
                 f"only theirs {list((theirs - ours).items())[:3]}; {kinds}")

@@ -186,3 +186,19 @@ def test_texts(spark):
     for kind, column in (("Point", "p"), ("LineString", "l"), ("Polygon", "g")):
         text = df.select(G.feature_json(kind, F.col(column), F.struct(F.lit("n").alias("name"))).alias("value"), F.col(column).alias("was"))
         assert text.where(G.feature_coordinates(F.col("value"), kind) == F.col("was")).count() == 1
+
+
+def test_attributes_are_checked(spark):
+    from pyspark.errors import PySparkException
+
+    from chainmark.operators import sections
+    segments = spark.createDataFrame([("MLX", "CHAIN-MLX-S-00269-E-00270-MAINLINE", 26.9, 27.0), ("TLX", "CHAIN-TLX-S-00268-E-00269-MAINLINE", 26.8, 26.9), ("EML", "other", 1.0, 1.1)],
+                                     "line_id string, chainage_id string, chainage_start_km double, chainage_end_km double")
+    track = spark.createDataFrame([("CHAIN-MLX-S-00269-E-00270-MAINLINE", 26.9, 27.0, "x", "good"), ("CHAIN-MLX-S-00268-E-00269-MAINLINE", 26.8, 27.3, "x", "bad")],
+                                  "`Chainage ID` string, `Chainage Start (km)` double, `Chainage End (km)` double, `2023` string, `Rail Type` string")
+    joined = sections.with_attributes(segments, track)
+    assert "2023" not in joined.columns and [r["rail_type"] for r in sections.checked_attributes(joined).collect()] == ["good"]
+    assert [r["line_id"] for r in sections.mismatched_attributes(joined).collect()] == ["TLX"]
+    assert [r["line_id"] for r in sections.missing_attributes(segments, track).collect()] == ["EML"]
+    with pytest.raises(PySparkException):
+        sections.checked_attributes(joined, strict=True).collect()
