@@ -50,12 +50,15 @@ def edge_cells(edges: DataFrame, radius: float, cell: float) -> DataFrame:
 def nearest_edge(
     points: DataFrame, edges: DataFrame, radius: float, rank: Sequence[str] = (), carry: Sequence[str] = (),
     by: Sequence[str] = (), geometry: str = "geometry", out: str = "near", cell_edges: int = CELL_EDGES,
-    limit_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS,
+    limit_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS, narrowings: int = 4,
 ) -> DataFrame:
     """Nearest edge within ``radius`` as a struct column, null where there is none.
 
     ``edges`` has x1, y1, x2, y2, seq and the ``carry`` columns. Ties go by ``rank`` columns first, then
     distance, then the carried columns. ``by`` columns must be equal on both sides.
+
+    Where cells hold more than ``cell_edges`` edges, a search within an eighth of the radius comes first: what
+    it finds is nearest of all, and only points still open ask among the crowd.
     """
     cell = 2.0 * radius
     keys = [*by, "_cx", "_cy"]
@@ -80,6 +83,12 @@ def nearest_edge(
         joined = lookup_join(placed, packed, keys, None, "left", limit_bytes, hot_rows, crowd["b"])
         options = F.filter(F.transform("_edges", lambda e: answer(e, x, y)), lambda a: a["dist"] <= radius)
         return joined.withColumn(out, F.array_min(options)).drop("_edges", "_cx", "_cy", "_px", "_py")
+    settled = None
+    if not rank and narrowings > 0:
+        close = checkpointed(nearest_edge(points, edges, radius / 8, rank, carry, by, geometry, out, cell_edges, limit_bytes, hot_rows, narrowings - 1))
+        settled = close.where(F.col(out).isNotNull())
+        placed = close.where(F.col(out).isNull()).drop(out).withColumns({"_px": F.col(f"{geometry}.x"), "_py": F.col(f"{geometry}.y")})
+        placed = placed.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
     # Crowded cells: ask once per distinct position, reduce before the shuffle, then look the answers up.
     spots = placed.select(*by, "_cx", "_cy", "_px", "_py").distinct()
     pairs = salted_join(spots, listed.withColumn("_e", F.struct(*[c for c in names if c not in by])).select(*keys, "_e"),
@@ -88,7 +97,8 @@ def nearest_edge(
         pairs.withColumn("_a", answer(F.col("_e"), x, y)).where(F.col("_a.dist") <= radius)
         .groupBy(*by, "_px", "_py").agg(F.min("_a").alias(out))
     )
-    return lookup_join(placed.drop("_cx", "_cy"), best, [*by, "_px", "_py"], limit_bytes=limit_bytes, hot_rows=hot_rows).drop("_px", "_py")
+    asked = lookup_join(placed.drop("_cx", "_cy"), best, [*by, "_px", "_py"], limit_bytes=limit_bytes, hot_rows=hot_rows).drop("_px", "_py")
+    return asked if settled is None else settled.unionByName(asked)
 
 
 def locate(
@@ -201,8 +211,9 @@ def _ring_edges(areas: DataFrame, area: str) -> DataFrame:
 def clip_points(points: DataFrame, areas: DataFrame, area: str = "area_id", geometry: str = "geometry") -> DataFrame:
     """Points inside any polygon, each once (crossing count to the right, half-open in y).
 
-    Ring edges are listed per cell: horizontal bands as high as a usual edge, columns as wide as a usual
-    polygon. A point meets the polygons around its cell by equality and sees their edges of its band only.
+    Ring edges are listed per polygon and cell: horizontal bands as high as a usual edge, columns as wide as a
+    usual polygon. A point meets the polygons around its cell by equality, sees their edges of its band only,
+    and is kept by a semi join, so polygons that overlap do not multiply it.
     """
     edges = _ring_edges(areas, area).where(F.col("y1") != F.col("y2"))
     spans = edges.groupBy(area).agg(F.least(F.min("x1"), F.min("x2")).alias("_left"), F.greatest(F.max("x1"), F.max("x2")).alias("_right"))
@@ -213,8 +224,7 @@ def clip_points(points: DataFrame, areas: DataFrame, area: str = "area_id", geom
         edges.withColumn("_band", F.explode(F.sequence(F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))))
         .join(spans, area)
         .withColumn("_column", F.explode(F.sequence(F.floor(F.col("_left") / column), F.floor(F.col("_right") / column))))
-        .groupBy("_band", "_column", area).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_ring"))
-        .groupBy("_band", "_column").agg(F.collect_list("_ring").alias("_rings"))
+        .groupBy("_band", "_column", area).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_ring")).drop(area)
     )
     x, y = F.col("_px"), F.col("_py")
 
@@ -224,9 +234,9 @@ def clip_points(points: DataFrame, areas: DataFrame, area: str = "area_id", geom
 
     celled = points.withColumns({"_px": F.col(f"{geometry}.x"), "_py": F.col(f"{geometry}.y")})
     celled = celled.withColumns({"_band": F.floor(y / band), "_column": F.floor(x / column)})
-    joined = lookup_join(celled, listed, ["_band", "_column"], how="inner")
-    inside = F.exists("_rings", lambda ring: F.size(F.filter(ring, crosses)) % 2 == 1)
-    return joined.where(inside).drop("_band", "_column", "_rings", "_px", "_py")
+    inside = F.size(F.filter("_ring", crosses)) % 2 == 1
+    joined = lookup_join(celled, listed, ["_band", "_column"], inside, "left_semi")
+    return joined.drop("_band", "_column", "_px", "_py")
 
 
 def clip_lines(lines: DataFrame, areas: DataFrame, key: str, area: str = "area_id", geometry: str = "pts", cell: float | None = None) -> DataFrame:

@@ -121,7 +121,7 @@ def measure_stats(
     """Count, min, max, mean, population deviation and p50/p75/p90 per group.
 
     One shuffle where no group can exceed ``hot_rows`` (``row_bound`` is a known upper bound on rows, such as
-    the size of the whole table). Otherwise groups are counted first and the larger ones take
+    the size of the whole table). Otherwise the sums come first, with the counts, and groups found large take
     ``split_percentiles``, so that no task holds their values.
     """
     points = in_section(points, key).select(key, *measures)
@@ -132,11 +132,12 @@ def measure_stats(
     base = checkpointed(points.groupBy(key).agg(count, *_moments(measures)))
     hot = base.where(F.col("num_points") > hot_rows).select(key, F.lit(True).alias("_hot"))
     if hot.limit(1).count() == 0:
-        return _spread(points.groupBy(key).agg(count, *_moments(measures), *exact), measures)
-    marked = lookup_join(points, hot, [key])
-    cold = _spread(marked.where(F.col("_hot").isNull()).groupBy(key).agg(*exact), measures)
-    large = split_percentiles(marked.where(F.col("_hot")).drop("_hot"), measures, key, missing)
-    return base.join(cold.unionByName(large), key, "left")
+        found = _spread(points.groupBy(key).agg(*exact), measures)
+    else:
+        marked = lookup_join(points, hot, [key])
+        cold = _spread(marked.where(F.col("_hot").isNull()).groupBy(key).agg(*exact), measures)
+        found = cold.unionByName(split_percentiles(marked.where(F.col("_hot")).drop("_hot"), measures, key, missing))
+    return base.join(found, key, "left")
 
 
 def rp_stats(points: DataFrame, **options) -> DataFrame:
