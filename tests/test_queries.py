@@ -3,12 +3,13 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from chainmark.plans.all_queries import QUERIES
 from compare import compare
 
 SQL = oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, name):
     build = queries()[name]
     if name in SQL:
