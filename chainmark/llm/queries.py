@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainmark.llm import bpe, minhash, token_counts
+from chainmark.llm import bpe, decontaminate, minhash, secrets, token_counts
 from chainmark.plans.registry import Build
 
 QUERIES: dict[str, Build] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -34,3 +39,50 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '')"
+
+SQL["op1_benchmark_decontamination"] = f"""
+WITH i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+items AS (
+  SELECT DISTINCT item_id, least(5, len(w)) AS k, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS s
+  FROM i, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS r(p) WHERE len(w) > 0),
+sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+widths AS (SELECT DISTINCT k FROM items),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+runs AS (
+  SELECT DISTINCT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS s
+  FROM d, widths, unnest(range(1, len(w) - k + 2)) AS r(p) WHERE len(w) >= k),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM runs JOIN items USING (k, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n AS n_item, n_shared / n AS containment
+FROM shared JOIN sizes USING (item_id) WHERE n_shared * 100 >= n * 80
+"""
+
+
+def _found(rule: secrets.Rule, order: int) -> str:
+    """SQL for the spans of one rule: positions from the lengths of matches and of the text between them."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {order} AS ord, unnest(list_transform(range(1, len(m) + 1), lambda i: {{'s': a[i], 'e': a[i] + length(m[i]), 'n': length(g[i])}})) AS x
+  FROM (SELECT doc_id, m, g, list_transform(range(1, len(m) + 1), lambda i:
+            coalesce(list_sum(list_transform(p[1:i], lambda y: length(y))), 0)::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0)::BIGINT) AS a
+        FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g,
+                     string_split_regex(t, '{pattern}') AS p
+              FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WHERE regexp_matches(t, '{pattern}')))"""
+
+
+_RULES = secrets.BASE_RULES + secrets.MORE_RULES
+SQL["op10_secret_scan"] = f"""
+WITH f AS ({" UNION ALL ".join(f"SELECT doc_id, ord, x.s AS s, x.e AS e FROM ({_found(r, n)}) WHERE x.n >= {r.least}" for n, r in enumerate(_RULES))}),
+k AS (SELECT *, {repr([r.kind for r in _RULES])}[ord + 1] || ':' || s || ':' || e AS span FROM f)
+SELECT d.doc_id, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY s, ord, e) FILTER (ord < 3), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY s, ord, e), '') AS spans
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id GROUP BY d.doc_id
+"""
