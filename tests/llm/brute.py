@@ -51,3 +51,35 @@ def near_duplicates(rows, percent=85, n=3):
         if d is not None:
             low[r] = min(d, low.get(r, d))
     return sorted((repr(d), len(s), low.get(r), d is not None and d == low.get(r)) for (d, _), s, r in zip(rows, sets, root))
+
+
+def covered_units(texts, width):
+    """Per text, which units lie in a window that starts more than once anywhere."""
+    seen = {}
+    for t in texts:
+        for i in range(len(t) - width + 1):
+            w = t[i:i + width]
+            seen[w] = seen.get(w, 0) + 1
+    out = []
+    for t in texts:
+        gone = [False] * len(t)
+        for i in range(len(t) - width + 1):
+            if seen[t[i:i + width]] > 1:
+                gone[i:i + width] = [True] * width
+        out.append(gone)
+    return out
+
+
+def without_word_repeats(rows, width):
+    import hashlib
+    texts = [tuple(words(t)) for _, t in rows]
+    return sorted((repr(d), len(t), sum(g), hashlib.sha256(" ".join(w for w, x in zip(t, g) if not x).encode()).hexdigest())
+                  for (d, _), t, g in zip(rows, texts, covered_units(texts, width)))
+
+
+def without_byte_repeats(rows, width):
+    import hashlib
+    texts = [(t or "").encode() for _, t in rows]
+    return sorted((repr(d), len(t), sum(g), sum(x and not (i and g[i - 1]) for i, x in enumerate(g)),
+                   hashlib.sha256(bytes(b for b, x in zip(t, g) if not x)).hexdigest())
+                  for (d, _), t, g in zip(rows, texts, covered_units(texts, width)))
