@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainmark.llm import bpe, decontaminate, minhash, quality, recompression, secrets, suffix, token_counts
+from chainmark.llm import bpe, caps, decontaminate, minhash, quality, recompression, secrets, suffix, token_counts
 from chainmark.plans.registry import Build
 
 QUERIES: dict[str, Build] = {}
@@ -31,6 +31,11 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
