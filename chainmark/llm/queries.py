@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainmark.llm import bpe, caps, decontaminate, minhash, quality, recompression, secrets, suffix, token_counts
+from chainmark.llm import bpe, caps, chat, decontaminate, minhash, quality, recompression, secrets, suffix, token_counts
 from chainmark.plans.registry import Build
 
 QUERIES: dict[str, Build] = {}
@@ -26,6 +26,19 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: A conversation that holds the template's own control strings.
+HARD_TURNS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+@query
+def op2_chat_prefix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame(HARD_TURNS, "conv_id long, turn long, role string, text string")
+    trees, leaves = chat.prefix_trees(given.unionByName(hard), path)
+    return chat.read_back(trees, leaves, path)
+
+
 @query
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -106,3 +119,16 @@ SELECT d.doc_id, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1
   coalesce(string_agg(span, ',' ORDER BY s, ord, e), '') AS spans
 FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+SQL["op2_chat_prefix_trees"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS body,
+  replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:') AS head FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(4 + length(head) + 2 + length(body) + 8)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
