@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainmark.llm.joins import id_key, sized_join, stored
+from chainmark.llm.joins import NO_ID, id_key, sized_join, stored
 
 SHINGLE, PERCENT = 5, 80
 
@@ -72,13 +72,12 @@ def keep_first(keep: Column) -> Column:
     return F.first(keep).alias("keep")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, item_id, n_shared, n_item, containment)`` of each item found in a document."""
+def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """``(_id, _text, item_id, n, n_shared)`` of each item found in a text."""
     sets = stored(item_shingles(items, shingle), "items")
     widths = sorted(r.width for r in sets.select("width").distinct().collect())  # at most ``shingle`` values
     minimal = stored(minimal_hashes(sets, percent, shingle), "item-minima")
     texts = docs.select(id_key().alias("_id"), F.xxhash64("text").alias("_text"), word_list(F.col("text")).alias("words"))
-    kind = docs.schema["doc_id"].dataType
     hits = [
         sized_join(_runs(texts, w).select("_id", "_text", _hash(w).alias("hash")), minimal.where(F.col("width") == w).select("hash", "item"), ["hash"])
         for w in widths
@@ -96,13 +95,19 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, shin
     if not checked:
         checked = [sets.select(F.lit(0).cast("long").alias("_id"), F.lit(0).cast("long").alias("_text"), "item", "item_id", "n", "shingle")]
     shared = reduce(DataFrame.unionByName, checked).groupBy("_id", "_text", "item", "item_id", "n").agg(F.count_distinct("shingle").alias("n_shared"))
-    enough = shared.where(F.col("n_shared") * 100 >= F.col("n") * percent)
-    best = enough.groupBy("_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("n")).alias("containment"), "n_shared", "n")).alias("b"))
-    doc_id = F.when(F.col("_id") != F.lit(-(1 << 63)), F.col("_id")).cast(kind).alias("doc_id")
+    return shared.where(F.col("n_shared") * 100 >= F.col("n") * percent)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """``(doc_id, item_id, n_shared, n_item, containment)`` of each item found in a document."""
+    found = matches(docs, items, percent, shingle)
+    best = found.groupBy("_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("n")).alias("containment"), "n_shared", "n")).alias("b"))
+    doc_id = F.when(F.col("_id") != NO_ID, F.col("_id")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
     return best.select(doc_id, "item_id", F.col("b.n_shared").alias("n_shared"), F.col("b.n").alias("n_item"), F.col("b.containment").alias("containment"))
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    found = stored(contaminated(docs, items, percent).select(id_key().alias("_llm_id")).distinct(), "contaminated")
-    return sized_join(docs.withColumn("_llm_id", id_key()), found, ["_llm_id"], "left_anti").select(*docs.columns)
+    found = stored(matches(docs, items, percent).select(F.col("_id").alias("_llm_id"), F.col("_text").alias("_llm_text")).distinct(), "contaminated")
+    keyed = docs.withColumns({"_llm_id": id_key(), "_llm_text": F.xxhash64("text")})
+    return sized_join(keyed, found, ["_llm_id", "_llm_text"], "left_anti").select(*docs.columns)

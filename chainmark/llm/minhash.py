@@ -87,7 +87,7 @@ def _sets(batch: pa.RecordBatch, shingle: int) -> Iterator[tuple[int, int, np.nd
 
 
 def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, n_shingles, cls, bands)``; ``cls`` names the whole set, and is null like ``bands`` where it is empty."""
+    """``(doc_id, _text, n_shingles, cls, bands)``; ``_text`` hashes the text, ``cls`` names the whole set and is null where it is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, values, first in _sets(batch, shingle):
@@ -95,14 +95,14 @@ def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS, shingle: i
                 low = superminhash(values, np.append(first[:-1][some], first[-1]), rows * bands)
                 where = np.concatenate(([0], np.cumsum(some * bands)))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)),
+                    batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(np.diff(first)),
                     pa.array(_set_name(values, first).view(np.int64), mask=~some),
                     list_array(band_names(low, rows, bands).reshape(-1).view(np.int64), where, pa.int64()),
-                ], ["doc_id", "n_shingles", "cls", "bands"])
+                ], ["doc_id", "_text", "n_shingles", "cls", "bands"])
 
-    kind = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("cls", T.LongType()),
-                         T.StructField("bands", T.ArrayType(T.LongType()))])
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
+    long = [T.StructField(c, T.LongType()) for c in ("_text", "n_shingles", "cls")]
+    kind = T.StructType([docs.schema["doc_id"], *long, T.StructField("bands", T.ArrayType(T.LongType()))])
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("_text")).mapInArrow(run, kind)
 
 
 def shingle_names(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -168,8 +168,8 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, shingle:
     return found
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` of every document."""
+def grouped(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signed documents, their classes, and the root class of each class that has a link."""
     signed = stored(signatures(docs, rows, bands, shingle), "near-signed")
     classes = stored(
         signed.where("cls is not null").groupBy("cls")
@@ -177,14 +177,37 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
         .withColumn("rep", id_key("smallest")), "near-sigs")
     found = links(docs, classes, percent, shingle)
     linked = found.select(F.explode(F.array("u", "v")).alias("v")).distinct()
-    groups = components(linked, found).select(F.col("v").alias("cls"), "root")
+    return signed, classes, components(linked, found).select(F.col("v").alias("cls"), "root")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` of every document."""
+    signed, classes, groups = grouped(docs, percent, shingle, rows, bands)
     smallest = groups.join(classes.select("cls", "smallest"), "cls").groupBy("root").agg(F.min("smallest").alias("component_id"))
     joined = groups.join(smallest, "root").select("cls", "component_id")
     named = stored(
         classes.select("cls", "smallest").join(joined, "cls", "left")
-        .select("cls", F.coalesce("component_id", "smallest").alias("component_id")), "near-named")
+        .select(F.col("cls").alias("key"), F.coalesce("component_id", "smallest").alias("component_id")), "near-named")
     # Empty texts get a key of their own, so that they do not meet in one task.
     keyed = signed.select("doc_id", "n_shingles", "cls", F.coalesce("cls", F.xxhash64("doc_id")).alias("key"))
-    out = sized_join(keyed, named.withColumnRenamed("cls", "key"), ["key"], "left")
+    out = sized_join(keyed, named, ["key"], "left")
     out = out.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, shingle: int = 5, rows: int = 4, bands: int = 32) -> DataFrame:
+    """One document of each group, with all its columns: the one with the smallest id. Texts without words all stay."""
+    signed, _, groups = grouped(docs, percent, shingle, rows, bands)
+    rooted = sized_join(signed.where("cls is not null").select("cls", id_key().alias("_id"), F.col("doc_id").isNull().alias("bare"), "_text"),
+                        stored(groups, "near-groups"), ["cls"], "left").withColumn("root", F.coalesce("root", "cls"))
+    rooted = stored(rooted.groupBy("root", "bare", "_id", "_text").agg(F.count(F.lit(1)).alias("times")), "near-rooted")
+    first = stored(rooted.groupBy("root").agg(F.min(F.struct("bare", "_id", "_text")).alias("f")), "near-first")
+    judged = sized_join(rooted, first, ["root"]).withColumn("stays", (F.col("f._id") == F.col("_id")) & (F.col("f._text") == F.col("_text")))
+    dropped = stored(judged.where("not stays or times > 1").select(F.col("_id").alias("_llm_id"), F.col("_text").alias("_llm_text"), "stays"), "near-dropped")
+    keyed = docs.withColumns({"_llm_id": id_key(), "_llm_text": F.xxhash64("text")})
+    kept = sized_join(keyed, dropped.select("_llm_id", "_llm_text"), ["_llm_id", "_llm_text"], "left_anti").select(*docs.columns)
+    again = dropped.where("stays").select("_llm_id", "_llm_text")
+    if again.isEmpty():
+        return kept
+    once = sized_join(keyed, again, ["_llm_id", "_llm_text"], "left_semi").dropDuplicates(["_llm_id", "_llm_text"])
+    return kept.unionByName(once.select(*docs.columns))
