@@ -4,10 +4,11 @@
   place of its own random permutation of the registers, so that ranks of one shingle differ between registers;
   a register keeps its lowest rank. A text stops early, once no later round can lower any register.
 * Texts with equal shingle sets are one class from here on, so copies cost one row each and nothing more.
-* Classes that agree in a band share a bucket. Buckets do not emit their pairs: each class meets the best
-  connected class of its bucket first, verified links are grouped, and then the head of each other group in the
-  bucket. Only pairs in one bucket that are still in different groups after that are compared one by one, so no
-  link that joins two groups is lost. At similarity 0.85 a pair shares no bucket with chance 5e-7.
+* Classes that agree in a band share a bucket, and classes connected through buckets are a cluster. Buckets do not
+  emit their pairs. In clusters above ``BLOCK`` classes each class meets the best connected class of each of its
+  buckets first, and what links is grouped. Classes of a cluster that are still in different groups are compared in
+  blocks of bounded size; a block returns a spanning forest of its links, never pairs. No link that joins two groups
+  is lost. At similarity 0.85 a pair shares no bucket with chance 5e-7.
 * A link needs ``100 * shared >= PERCENT * union`` on the full sets of 64-bit shingle names.
 
 Null or empty texts have no shingles and link with nothing. A repeated or null doc_id is a document of its own
@@ -31,6 +32,8 @@ from chainmark.operators.topology import components
 
 ROWS, BANDS = 5, 25
 PERCENT, SHINGLE = 85, 3
+#: Classes of a cluster that are compared in one task, and the most cells of the table in which they are.
+BLOCK, MATRIX_BITS = 400, 1 << 26
 
 
 def superminhash(values: np.ndarray, first: np.ndarray, registers: int) -> np.ndarray:
@@ -116,73 +119,124 @@ def shingle_names(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "cls long, names array<long>")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """Those of the pairs ``(u, v)`` that are similar enough, by their full sets. ``v`` may be a hot key."""
-    sizes = classes.select("cls", "n", "rep")
-    sized = (
-        pairs.join(sizes.select(F.col("cls").alias("u"), F.col("n").alias("nu"), F.col("rep").alias("ru")), "u")
-        .join(sizes.select(F.col("cls").alias("v"), F.col("n").alias("nv"), F.col("rep").alias("rv")), "v")
-        .where(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
-    )
-    sized = stored(sized, "near-pairs")
-    wanted = stored(sized.select(F.explode(F.array("ru", "rv")).alias("_id")).distinct(), "near-wanted")
-    texts = sized_join(docs.select("doc_id", "text").withColumn("_id", id_key()), wanted, ["_id"], "left_semi")
-    need = stored(sized.select(F.explode(F.array("u", "v")).alias("cls")).distinct(), "near-classes")
-    sets = sized_join(shingle_names(texts, shingle), need, ["cls"], "left_semi")
-    sets = stored(sets.dropDuplicates(["cls"]), "near-sets")
-    both = (
-        sized.select("u", "v", "nu", "nv")
-        .join(sets.select(F.col("cls").alias("u"), F.col("names").alias("su")), "u")
-        .join(sets.select(F.col("cls").alias("v"), F.col("names").alias("sv")), "v")
-    )
-    shared = F.size(F.array_intersect("su", "sv")).cast("long")
-    return both.where(shared * 100 >= (F.col("nu") + F.col("nv") - shared) * percent).select("u", "v")
+def shared_counts(values: np.ndarray, first: np.ndarray):
+    """A function of (one set, others) that counts the members they share; sets are ``values[first[i]:first[i + 1]]``."""
+    size = np.diff(first)
+    _, member, times = np.unique(values, return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1  # members of one set only are shared by no pair
+    wide = int(column[-1]) + 1 if len(column) else 0
+    if len(size) * wide > MATRIX_BITS:
+        def merged(a: int, others: np.ndarray) -> np.ndarray:
+            mine = values[first[a]:first[a + 1]]
+            return np.array([len(np.intersect1d(mine, values[first[b]:first[b + 1]], assume_unique=True)) for b in others], np.int64)
+        return merged
+    kept = times[member] > 1
+    bits = np.zeros((len(size), wide), bool)
+    bits[np.repeat(np.arange(len(size)), size)[kept], column[member[kept]]] = True
+    packed = np.packbits(bits, axis=1)
+    return lambda a, others: np.bitwise_count(packed[others] & packed[a]).sum(axis=1, dtype=np.int64)
+
+
+def _joins(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """Links ``(u, v)`` that join the groups of one block, a spanning forest of all links between them."""
+    cls, side, split, grp = (table.column(i).to_numpy() for i in (1, 2, 3, 4))
+    lists = table.column(5).combine_chunks()
+    values, first = np.asarray(lists.flatten()), np.asarray(lists.offsets).astype(np.int64)
+    first = first - first[0]
+    size, root = np.diff(first), np.unique(grp, return_inverse=True)[1]
+    count, found = shared_counts(values, first), []
+    for a in range(len(cls) - 1):  # one row against all later ones that are not joined to it yet
+        b = np.arange(a + 1, len(cls))
+        fits = (root[b] != root[a]) & (cls[b] != cls[a]) & (~split[a] | (side[b] != side[a]))
+        b = b[fits & (np.minimum(size[b], size[a]) * 100 >= np.maximum(size[b], size[a]) * percent)]
+        if not len(b):
+            continue
+        shared = count(a, b)
+        for k in b[shared * 100 >= (size[a] + size[b] - shared) * percent]:
+            if root[k] != root[a]:
+                found.append((cls[a], cls[k]))
+                root[root == root[k]] = root[a]
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["u", "v"])
+
+
+def _block_links(rows: DataFrame, percent: int) -> DataFrame:
+    """``(u, v)`` of all blocks; rows ``(block, cls, side, split, grp, names)`` lie sorted by block and class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if held and held[-1].column(0)[0].as_py() != block[lo]:
+                    yield _joins(pa.Table.from_batches(held), percent)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield _joins(pa.Table.from_batches(held), percent)
+
+    return rows.select("block", "cls", "side", "split", "grp", "names").mapInArrow(run, "u long, v long")
+
 
+def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """``(cls, names)`` of the classes ``(cls, rep)``, once or, where a doc_id repeats, several times each."""
+    ids = stored(wanted.select(F.col("rep").alias("_id")).distinct(), "near-ids")
+    texts = sized_join(docs.select("doc_id", "text").withColumn("_id", id_key()), ids, ["_id"], "left_semi")
+    return stored(sized_join(shingle_names(texts, shingle), wanted.select("cls"), ["cls"], "left_semi"), "near-sets")
 
-def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+
+def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
     """Links ``(u, v)`` between classes that join the same groups as all links would."""
-    spark = docs.sparkSession
     keyed = classes.select("cls", F.explode("bands").alias("bucket"))
     crowded = stored(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-buckets")
     members = stored(sized_join(keyed, crowded, ["bucket"]), "near-members")
+    # The head of a bucket is its best connected class; all that share buckets are one cluster.
     score = members.groupBy("cls").agg(F.sum("size").alias("score"))
-    ranked = stored(members.join(score, "cls").select("bucket", "cls", "score"), "near-ranked")
-    found = spark.createDataFrame([], "u long, v long")
-    best = F.max(F.struct("score", "cls")).alias("best")
-
-    head = ranked.groupBy("bucket").agg(best).select("bucket", F.col("best.cls").alias("v"))
-    pairs = ranked.join(head, "bucket").where("cls != v").select(F.col("cls").alias("u"), "v").distinct()
-    found = stored(_verified(pairs, classes, docs, percent, shingle), "near-links")
-    for heads_only in (True, False):
-        groups = components(members.select(F.col("cls").alias("v")).distinct(), found).select(F.col("v").alias("cls"), F.col("root").alias("grp"))
-        placed = stored(ranked.join(groups, "cls"), "near-placed")
-        mixed = stored(placed.groupBy("bucket").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a != b").select("bucket"), "near-mixed")
-        open_members = stored(sized_join(placed, mixed, ["bucket"], "left_semi"), "near-open")
-        if open_members.isEmpty():
-            break
-        other = open_members.groupBy("bucket", "grp").agg(best).select("bucket", "grp", F.col("best.cls").alias("cls")) if heads_only else open_members
-        other = other.select("bucket", F.col("cls").alias("v"), F.col("grp").alias("other"))
-        apart = F.col("grp") != F.col("other") if heads_only else F.col("grp") < F.col("other")
-        pairs = open_members.join(other, "bucket").where(apart).select(F.col("cls").alias("u"), "v").distinct()
-        found = stored(found.unionByName(_verified(pairs, classes, docs, percent, shingle)).distinct(), "near-links")
-    return found
+    ranked = members.join(score, "cls").select("bucket", "cls", "score")
+    head = ranked.groupBy("bucket").agg(F.max(F.struct("score", "cls")).alias("best")).select("bucket", F.col("best.cls").alias("v"))
+    stars = stored(members.join(head, "bucket").where("cls != v").select(F.col("cls").alias("u"), "v").distinct(), "near-stars")
+    clusters = components(stars.select(F.explode(F.array("u", "v")).alias("v")).distinct(), stars)
+    clusters = stored(clusters.select(F.col("v").alias("cls"), F.col("root").alias("cluster")), "near-clusters")
+    sizes = stored(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "near-cluster-sizes")
+    placed = stored(sized_join(clusters, sizes, ["cluster"]).join(classes.select("cls", "rep"), "cls"), "near-placed")
+    sets = _full_sets(docs, placed, shingle)
+
+    # Large clusters: every class meets the heads of its buckets, so that most are joined before blocks are compared.
+    large = stored(placed.where(F.col("n") > block).select("cls"), "near-large")
+    asked = sized_join(stars.withColumnRenamed("u", "cls"), large, ["cls"], "left_semi").withColumnRenamed("cls", "u")
+    one = sets.dropDuplicates(["cls"])
+    both = asked.join(one.select(F.col("cls").alias("u"), F.col("names").alias("su")), "u").join(one.select(F.col("cls").alias("v"), F.col("names").alias("sv")), "v")
+    shared = F.size(F.array_intersect("su", "sv")).cast("long")
+    first = stored(both.where(shared * 100 >= (F.size("su") + F.size("sv") - shared) * percent).select("u", "v"), "near-first")
+    groups = stored(components(first.select(F.explode(F.array("u", "v")).alias("v")).distinct(), first).select(F.col("v").alias("cls"), F.col("root").alias("grp")), "near-groups")
+
+    # What is still apart in a cluster is compared in blocks: a cluster is cut into sides, each pair of sides is a block.
+    known = stored(sized_join(placed, groups, ["cls"], "left").withColumn("grp", F.coalesce("grp", "cls")), "near-known")
+    apart = stored(known.groupBy("cluster").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a != b").select("cluster"), "near-apart")
+    ways = F.ceil(F.col("n") / block).cast("int")
+    sided = sized_join(known, apart, ["cluster"], "left_semi").withColumn("side", F.pmod(F.xxhash64("cls"), ways).cast("int"))
+    dealt = sided.withColumn("other", F.explode(F.sequence(F.lit(0), ways - 1))).select(
+        F.xxhash64("cluster", F.least("side", "other"), F.greatest("side", "other")).alias("block"), "cls", "side", (F.col("side") != F.col("other")).alias("split"), "grp")
+    blocks = sets.join(stored(dealt, "near-dealt"), "cls").repartition("block").sortWithinPartitions("block", "cls")
+    return stored(first.unionByName(_block_links(blocks, percent)), "near-links")
 
 
-def grouped(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def grouped(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signed documents, their classes, and the root class of each class that has a link."""
     signed = stored(signatures(docs, rows, bands, shingle), "near-signed")
     classes = stored(
         signed.where("cls is not null").groupBy("cls")
         .agg(F.min("n_shingles").alias("n"), F.min("doc_id").alias("smallest"), F.first("bands").alias("bands"))
         .withColumn("rep", id_key("smallest")), "near-sigs")
-    found = links(docs, classes, percent, shingle)
+    found = links(docs, classes, percent, shingle, block)
     linked = found.select(F.explode(F.array("u", "v")).alias("v")).distinct()
     return signed, classes, components(linked, found).select(F.col("v").alias("cls"), "root")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS, block: int = BLOCK) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every document."""
-    signed, classes, groups = grouped(docs, percent, shingle, rows, bands)
+    signed, classes, groups = grouped(docs, percent, shingle, rows, bands, block)
     smallest = groups.join(classes.select("cls", "smallest"), "cls").groupBy("root").agg(F.min("smallest").alias("component_id"))
     joined = groups.join(smallest, "root").select("cls", "component_id")
     named = stored(
