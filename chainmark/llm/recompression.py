@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from chainmark.llm.repeats import covered, judged, with_repeats
+from chainmark.llm.repeats import Pieces, covered, judged, with_repeats
 from chainmark.llm.text import draws, flat, mix, spread, words
 
 WIDTH, MOST_ROUNDS = 35, 12
@@ -77,7 +77,8 @@ class Symbols:
 
 
 def anchors_of(width: int):
-    def anchors(names: np.ndarray, first: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def anchors(pieces: Pieces, first: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        names = pieces[1]
         n = len(names)
         at = np.arange(n)
         rounds = [Symbols(names, np.repeat(np.arange(len(first) - 1), np.diff(first)), at, at, at + 1)]
@@ -121,7 +122,7 @@ def _slices(count: np.ndarray, limit: int = 4_000_000) -> Iterator[tuple[int, in
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept, kept_sha256)``; ``kept`` is the remaining words joined by one space."""
-    found = with_repeats(docs, ["doc_id"], width, word_units, anchors_of(width))
+    found = with_repeats(docs, ["doc_id"], width, word_units, [anchors_of(width)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,9 @@ anchor form a bundle. Anchors are few, so the rounds move one small row for each
 
 1. bundles are counted by anchor name and by content; an anchor name that occurs once ends there;
 2. a bundle whose whole content occurs again has only repeated windows;
-3. of the rest, and of one bundle of each repeated content with the same anchor name, each window is compared.
+3. the rest, and one bundle of each repeated content with the same anchor name, is bundled again by another kind of
+   anchor where there is one, and counted again;
+4. of what is still open, each window is compared.
 
 All counts are aggregated before they are shuffled, so copies of a passage cost a row in each task, not one task.
 A text is known by its id and a hash of its content; repeated rows count as texts of their own.
@@ -15,7 +17,8 @@ A text is known by its id and a hash of its content; repeated rows count as text
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,24 +33,36 @@ _BITS = 20
 
 #: From bytes and text offsets: names of units, and the first unit of each text (one more entry than texts).
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
-#: From names of units, first units, and the first window of each text: name and place of the anchor of each window.
-Anchors = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def doubled(names: np.ndarray, gap: int, step: int) -> np.ndarray:
-    """Bucket refinement: names of longer pieces, from the names at each place and ``gap`` units later."""
-    if len(names) <= gap:
-        return np.zeros(0, np.uint64)
-    a, b = (draws(2, 100 + step) | np.uint64(1))
-    return mix(names[:-gap] * a + (names[gap:] ^ (names[gap:] >> np.uint64(29))) * b)
+class Pieces:
+    """Bucket refinement: names of the pieces of any length from each place on.
 
+    The name of a piece comes from the names of the half that starts at its place and of the half that starts at
+    a later one, so lengths double, and shorter names are used again for all longer ones.
+    """
 
-def piece_names(names: np.ndarray, width: int) -> np.ndarray:
-    """Name of the ``width`` units from each place on: pieces double in length, the last two overlap."""
-    size = 1
-    while size * 2 <= width:
-        names, size = doubled(names, size, size), size * 2
-    return names if size == width else doubled(names, width - size, width)
+    def __init__(self, names: np.ndarray):
+        self.made = {1: names}
+
+    def _joined(self, names: np.ndarray, gap: int, step: int) -> np.ndarray:
+        if len(names) <= gap:
+            return np.zeros(0, np.uint64)
+        a, b = draws(2, 100 + step) | np.uint64(1)
+        out = names[:-gap] * a
+        out += names[gap:] * b
+        out ^= out >> np.uint64(32)
+        return out
+
+    def __getitem__(self, width: int) -> np.ndarray:
+        if width not in self.made:
+            half = 1 << (width - 1).bit_length() - 1  # the largest power of two below
+            self.made[width] = self._joined(self[half], width - half, width)
+        return self.made[width]
+
+
+#: From pieces, first units and the first units of windows: name and place of the anchor of each window.
+Anchors = Callable[[Pieces, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def window_starts(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,23 +71,19 @@ def window_starts(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     return np.repeat(first[:-1], count) + spread(count), count
 
 
-def _bundles(names: np.ndarray, first: np.ndarray, width: int, anchors: Anchors) -> tuple[np.ndarray, ...]:
-    """Text, anchor name, content name, first and last window (within the text) of each bundle."""
-    starts, count = window_starts(first, width)
+def _bundles(pieces: Pieces, first: np.ndarray, width: int, anchors: Anchors, starts: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Part, anchor name, content name, first and last start of each bundle; a bundle lies in one part."""
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
-    whole = piece_names(names, width)[starts]
-    key, place = anchors(names, first, starts)
-    text = np.repeat(np.arange(len(count)), count)
+    key, place = anchors(pieces, first, starts)
     new = np.ones(len(starts), bool)
-    new[1:] = (place[1:] != place[:-1]) | (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+    new[1:] = (place[1:] != place[:-1]) | (key[1:] != key[:-1]) | (part[1:] != part[:-1])
     lo = np.flatnonzero(new)
     hi = np.append(lo[1:], len(starts)) - 1
-    a = draws(4, 99) | np.uint64(1)
-    content = mix(whole[lo] * a[0] + mix(whole[hi] ^ a[1]) + (hi - lo).astype(np.uint64) * a[2] + (place[lo] - starts[lo]).astype(np.uint64) * a[3])
-    base = first[:-1][text[lo]]
-    return text[lo], key[lo].view(np.int64), content.view(np.int64), starts[lo] - base, starts[hi] - base
+    a, whole = draws(4, 99) | np.uint64(1), pieces[width]
+    content = mix(whole[starts[lo]] * a[0] + mix(whole[starts[hi]] ^ a[1]) + (hi - lo).astype(np.uint64) * a[2] + (place[lo] - starts[lo]).astype(np.uint64) * a[3])
+    return part[lo], key[lo].view(np.int64), content.view(np.int64), starts[lo], starts[hi]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -85,39 +96,63 @@ def _rounds(batch: pa.RecordBatch, column: int, units: Units) -> Iterator[tuple[
         yield lo, hi, *units(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
 
 
+_ROW = ["_id", "_text", "key", "content", "lo", "hi", "known"]
+
+
 def _all_bundles(keyed: DataFrame, width: int, units: Units, anchors: Anchors) -> DataFrame:
+    """Bundles of all windows of all texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, _, names, first in _rounds(batch, 2, units):
+                starts, count = window_starts(first, width)
+                text, key, content, lo, hi = _bundles(Pieces(names), first, width, anchors, starts, np.repeat(np.arange(len(count)), count))
+                at = pa.array(text + row)
+                cols = [key, content, lo - first[text], hi - first[text], np.zeros(len(lo), bool)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, cols)], _ROW)
+
+    return keyed.mapInArrow(run, "_id long, _text long, key long, content long, lo long, hi long, known boolean")
+
+
+def _asked_starts(batch: pa.RecordBatch, units: Units) -> Iterator[tuple]:
+    """Rounds of asked texts: pieces, first units, and row, range, mark and start of each asked window."""
+    span, known = (np.asarray(batch.column(i).flatten().to_numpy(zero_copy_only=False)) for i in (3, 4))
+    sizes = np.diff(np.asarray(batch.column(3).offsets))
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    for lo, hi, names, first in _rounds(batch, 2, units):
+        mine = (row >= lo) & (row < hi)
+        spans = span[mine]
+        count = (spans & ((1 << _BITS) - 1)) + 1
+        each = np.repeat(np.arange(len(spans)), count)
+        rows = row[mine][each]
+        yield Pieces(names), first, rows, each, known[mine][each], first[rows - lo] + (spans >> _BITS)[each] + spread(count), lo
+
+
+def _asked_bundles(asked: DataFrame, width: int, units: Units, anchors: Anchors) -> DataFrame:
+    """Bundles, by another kind of anchor, of the asked ranges of windows; their marks stay."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, names, first in _rounds(batch, 2, units):
-                text, *cols = _bundles(names, first, width, anchors)
-                at = pa.array(text + lo)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, cols)],
-                                                 ["_id", "_text", "key", "content", "lo", "hi"])
+            for pieces, first, rows, each, known, starts, row in _asked_starts(batch, units):
+                part, key, content, lo, hi = _bundles(pieces, first, width, anchors, starts, each)
+                head = np.searchsorted(each, part)
+                at, base = pa.array(rows[head]), first[rows[head] - row]
+                cols = [key, content, lo - base, hi - base, known[head]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, cols)], _ROW)
 
-    return keyed.mapInArrow(run, "_id long, _text long, key long, content long, lo long, hi long")
+    return asked.mapInArrow(run, "_id long, _text long, key long, content long, lo long, hi long, known boolean")
 
 
-def _windows(asked: DataFrame, width: int, units: Units) -> DataFrame:
-    """One row for each window of the asked bundles; ``asked`` has the text and lists of key, span and kind."""
+def _windows(asked: DataFrame, width: int, units: Units, anchors: Anchors) -> DataFrame:
+    """One row for each asked window, named by its content and by its anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [np.asarray(batch.column(i).flatten()) for i in (3, 4, 5)]
-            sizes = np.diff(np.asarray(batch.column(3).offsets))
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            for lo, hi, names, first in _rounds(batch, 2, units):
-                mine = (row >= lo) & (row < hi)
-                key, span, done = (x[mine] for x in lists)
-                count = (span & ((1 << _BITS) - 1)) + 1
-                start = np.repeat(span >> _BITS, count) + spread(count)
-                text = np.repeat(row[mine], count)
-                whole = piece_names(names, width)
-                at = pa.array(text)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(at), batch.column(1).take(at), pa.array(np.repeat(key, count)),
-                    pa.array(whole[first[text - lo] + start].view(np.int64) if len(start) else start),
-                    pa.array(start), pa.array(np.repeat(done, count))], ["_id", "_text", "key", "window", "start", "done"])
-
-    return asked.mapInArrow(run, "_id long, _text long, key long, window long, start long, done boolean")
+            for pieces, first, rows, _, known, starts, row in _asked_starts(batch, units):
+                if len(starts):
+                    at = pa.array(rows)
+                    cols = [anchors(pieces, first, starts)[0].view(np.int64), pieces[width][starts].view(np.int64), starts - first[rows - row], known]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, cols)],
+                                                     ["_id", "_text", "key", "content", "start", "known"])
+
+    return asked.mapInArrow(run, "_id long, _text long, key long, content long, start long, known boolean")
 
 
 def _merged(lists: DataFrame) -> DataFrame:
@@ -145,30 +180,46 @@ def _merged(lists: DataFrame) -> DataFrame:
     return lists.mapInArrow(run, "_id long, _text long, los array<long>, his array<long>")
 
 
-def repeated_starts(docs: DataFrame, width: int, units: Units, anchors: Anchors) -> DataFrame:
+def _shared(rows: DataFrame, name: str) -> DataFrame:
+    """Rows whose key occurs more than once, and not only in rows marked as known."""
+    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("k")).where("n > 1 and not k").select("key")
+    return stored(sized_join(rows, stored(keys, f"{name}-keys"), ["key"], "left_semi"), name)
+
+
+def repeated_starts(docs: DataFrame, width: int, units: Units, kinds: Sequence[Anchors]) -> DataFrame:
     """``(_id, _text, los, his)``: ranges of the starts of windows that also start anywhere else."""
-    bundles = stored(_all_bundles(_keyed(docs), width, units, anchors), "bundles")
+    keyed, asked, found = _keyed(docs), None, []
     place = F.xxhash64("_id", "_text", "lo")
-    counted = bundles.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("speaker"))
-    counted = stored(counted, "bundle-counts")
-    keys = counted.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("contents")).where("total > 1")
-    shared = stored(counted.join(keys.select("key", "contents"), "key"), "bundle-shared")
-    span = F.shiftleft(F.col("lo"), _BITS) + F.col("hi") - F.col("lo")
-    met = sized_join(bundles, shared, ["key", "content"]).withColumn("span", span)
-    met = stored(met.select("_id", "_text", "key", "span", (F.col("n") > 1).alias("done"), ((F.col("n") == 1) | ((F.col("contents") > 1) & (place == F.col("speaker")))).alias("ask")), "bundle-met")
-    asked = met.where("ask").groupBy("_id", "_text").agg(F.collect_set(F.struct("key", "span", "done")).alias("a"))
-    asked = stored(asked.select("_id", "_text", F.col("a.key").alias("keys"), F.col("a.span").alias("spans"), F.col("a.done").alias("dones")), "bundle-asked")
-    texts = sized_join(_keyed(docs), asked, ["_id", "_text"]).select("_id", "_text", "_body", "keys", "spans", "dones")
-    windows = stored(_windows(texts, width, units), "windows")
-    twice = windows.groupBy("key", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "window")
-    again = sized_join(windows.where("not done"), stored(twice, "windows-twice"), ["key", "window"], "left_semi")
-    found = met.where("done").select("_id", "_text", "span").unionByName(again.select("_id", "_text", F.shiftleft("start", _BITS).alias("span")))
-    return stored(_merged(found.groupBy("_id", "_text").agg(F.collect_set("span").alias("spans"))), "repeats")
-
-
-def with_repeats(docs: DataFrame, columns: list[str], width: int, units: Units, anchors: Anchors) -> DataFrame:
+    for anchors in kinds:
+        if asked is None:
+            bundles = _all_bundles(keyed, width, units, anchors)
+        else:
+            bundles = _asked_bundles(sized_join(keyed, asked, ["_id", "_text"]).select("_id", "_text", "_body", "spans", "marks"), width, units, anchors)
+        shared = _shared(stored(bundles, "bundles"), "bundles-shared")
+        counted = shared.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("speaker"))
+        counted = stored(counted, "bundle-counts")
+        contents = counted.groupBy("key").agg(F.count(F.lit(1)).alias("contents"))
+        # Contents that matter to a row: its own occurs again, or its anchor has others.
+        info = stored(counted.join(contents, "key").where("n > 1 or contents > 1"), "bundle-info")
+        span = (F.shiftleft(F.col("lo"), _BITS) + F.col("hi") - F.col("lo")).alias("span")
+        ask = (F.col("contents") > 1) & ((F.col("n") == 1) | (place == F.col("speaker")))
+        met = sized_join(shared, info, ["key", "content"])
+        met = stored(met.select("_id", "_text", span, "known", (F.col("n") > 1).alias("again"), ask.alias("ask")), "bundle-met")
+        found.append(met.where("again and not known").select("_id", "_text", "span"))
+        lists = met.where("ask").groupBy("_id", "_text").agg(F.sort_array(F.collect_set(F.struct("span", (F.col("known") | F.col("again")).alias("mark")))).alias("a"))
+        asked = stored(lists.select("_id", "_text", F.col("a.span").alias("spans"), F.col("a.mark").alias("marks")), "bundle-asked")
+    texts = sized_join(keyed, asked, ["_id", "_text"]).select("_id", "_text", "_body", "spans", "marks")
+    windows = stored(_windows(texts, width, units, kinds[-1]), "windows")
+    twice = windows.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("k")).where("n > 1 and not k").select("key", "content")
+    again = sized_join(windows.where("not known"), stored(twice, "windows-twice"), ["key", "content"], "left_semi")
+    found.append(again.select("_id", "_text", F.shiftleft("start", _BITS).alias("span")))
+    spans = reduce(DataFrame.unionByName, found)
+    return stored(_merged(spans.groupBy("_id", "_text").agg(F.collect_set("span").alias("spans"))), "repeats")
+
+
+def with_repeats(docs: DataFrame, columns: list[str], width: int, units: Units, kinds: Sequence[Anchors]) -> DataFrame:
     """The given columns, ``_body`` (the text, empty where null) and the ranges of repeated starts (empty lists for none)."""
-    found = repeated_starts(docs, width, units, anchors)
+    found = repeated_starts(docs, width, units, kinds)
     texts = docs.select(*columns, id_key().alias("_id"), F.xxhash64("text").alias("_text"), F.coalesce("text", F.lit("")).alias("_body"))
     joined = sized_join(texts, found, ["_id", "_text"], "left")
     none = F.array().cast("array<long>")

@@ -4,8 +4,9 @@ Suffixes start in buckets by their first bytes. Each refinement gives a suffix a
 own and that of the suffix a few offsets later, reusing the identifiers made before, so the compared length
 doubles: 1, 2, 4 ... 256 bytes, and then ``WIDTH``. Identifiers are hashes of content, so all tasks agree on them
 without an exchange. Sorting every suffix of a corpus in Spark would move many times its size; so the first 128
-bytes elect anchors (the lowest bucket among the suffixes of a window), Spark refines only buckets of anchors
-that hold more than one suffix, and compares single windows only where whole bundles differ (see ``repeats``).
+bytes elect anchors (the lowest bucket among the suffixes of a window), and Spark refines only buckets of anchors
+that hold more than one suffix: by whole bundles of windows, then by anchors of 300 bytes, then by single windows,
+each only where the step before left something open (see ``repeats``).
 
 Null text is empty. Texts below ``WIDTH`` bytes keep all. Repeated rows repeat each other's strings. A task holds
 one round of texts, or one longer text, as arrays.
@@ -14,17 +15,17 @@ one round of texts, or one longer text, as arrays.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from chainmark.llm.repeats import covered, judged, piece_names, with_repeats
+from chainmark.llm.repeats import Pieces, covered, judged, with_repeats
 from chainmark.llm.text import EXACT, flat
 
-WIDTH, SEED = 400, 128
+WIDTH, SEEDS = 400, (128, 300)
 _PLACE = 28
 
 
@@ -40,8 +41,8 @@ def anchors_of(width: int, seed: int):
     """Anchors: of the suffixes whose first ``seed`` bytes lie in the window, the one in the lowest bucket, then the first."""
     reach = width - seed + 1
 
-    def anchors(names: np.ndarray, first: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = piece_names(names, seed)
+    def anchors(pieces: Pieces, first: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bucket = pieces[seed]
         ranked = (bucket >> np.uint64(_PLACE) << np.uint64(_PLACE)) | np.arange(len(bucket), dtype=np.uint64)
         padded = np.full(-(-len(ranked) // reach) * reach, np.iinfo(np.uint64).max)
         padded[:len(ranked)] = ranked
@@ -54,9 +55,9 @@ def anchors_of(width: int, seed: int):
     return anchors
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = WIDTH, seeds: Sequence[int] = SEEDS) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256)``; ``kept`` holds the remaining bytes."""
-    found = with_repeats(docs, ["doc_id"], width, byte_units, anchors_of(width, seed))
+    found = with_repeats(docs, ["doc_id"], width, byte_units, [anchors_of(width, seed) for seed in seeds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one round of array work looks at; a longer single text is one round.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
