@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainmark.functions.geometry import point
-from chainmark.operators.scale import BROADCAST_BYTES, HOT_ROWS, lookup_join, row_bytes, salted_join
+from chainmark.operators.scale import BROADCAST_BYTES, HOT_ROWS, lookup_join, salted_join
 from chainmark.session import checkpointed
 
 CELL_EDGES = 2048
+SPLIT = 4
 
 
 def _foot(x: Column, y: Column, e) -> tuple[Column, Column, Column, Column]:
@@ -29,8 +30,11 @@ def _foot(x: Column, y: Column, e) -> tuple[Column, Column, Column, Column]:
     return share, F.sqrt((x - px) * (x - px) + (y - py) * (y - py)), px, py
 
 
-def edge_cells(edges: DataFrame, radius: float, cell: float) -> DataFrame:
-    """Cells from which an edge can be within ``radius``; long edges are cut so that diagonals stay thin."""
+def edge_cells(edges: DataFrame, radius: float, cell: float, occupied: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Cells from which an edge can be within ``radius``; long edges are cut so that diagonals stay thin.
+
+    With ``occupied`` only these cells are listed; those that are too far or hold no point go before any shuffle of edges.
+    """
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     steps = F.greatest(F.ceil(F.sqrt(dx * dx + dy * dy) / F.lit(cell)), F.lit(1)).cast("long")
     parts = edges.withColumn("_steps", steps).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_steps") - 1)))
@@ -41,32 +45,66 @@ def edge_cells(edges: DataFrame, radius: float, cell: float) -> DataFrame:
         reach = F.lit(radius * (1 + 1e-9) + 1e-6)
         return F.sequence(F.floor((F.least(p, q) - reach) / cell), F.floor((F.greatest(p, q) + reach) / cell))
 
-    return (
-        parts.withColumn("_cx", F.explode(span("x1", "x2"))).withColumn("_cy", F.explode(span("y1", "y2")))
-        .drop("_steps", "_i").distinct()
-    )
+    listed = parts.withColumn("_cx", F.explode(span("x1", "x2"))).withColumn("_cy", F.explode(span("y1", "y2"))).drop("_steps", "_i")
+    if occupied is not None:
+        listed = lookup_join(listed, occupied, [*by, "_cx", "_cy"], how="left_semi")
+    return listed.distinct()
+
+
+def finite(geometry: Column) -> Column:
+    """Whether a position has both coordinates, as numbers."""
+    inf = F.lit(float("inf"))
+    return F.coalesce((F.abs(geometry["x"]) < inf) & (F.abs(geometry["y"]) < inf), F.lit(False))
+
+
+def _split_cells(crowd: DataFrame, occupied: DataFrame, keys: Sequence[str], rank: Sequence[str], size: float, radius: float) -> DataFrame:
+    """Edges of crowded cells in the sub-cells that hold points, without those that are nearest nowhere in a sub-cell.
+
+    Of a sub-cell with half diagonal h, the nearest edge is at most h farther from a point than from the centre.
+    So an edge is left out when its rank holds one nearer to the centre by more than 2 h, when it is out of reach
+    of the whole sub-cell, or when an edge of better rank is within reach from everywhere in it.
+    """
+    half = size * 0.7071067811865476 * (1 + 1e-9) + 1e-9
+    parents = [F.floor(F.col(c) / SPLIT).alias(f"{c}_up") for c in ("_cx", "_cy")]
+    below = occupied.select(*[k for k in keys if k not in ("_cx", "_cy")], "_cx", "_cy", *parents)
+    up = crowd.withColumnsRenamed({"_cx": "_cx_up", "_cy": "_cy_up"})
+    pairs = up.join(below, [*[k for k in keys if k not in ("_cx", "_cy")], "_cx_up", "_cy_up"]).drop("_cx_up", "_cy_up")
+    centre = [(F.col(c) + 0.5) * size for c in ("_cx", "_cy")]
+    measured = pairs.withColumn("_d", _foot(*centre, F.col("_e"))[1]).where(F.col("_d") - half <= radius * (1 + 1e-9))
+    measured = measured.withColumn("_rank", F.struct(*[F.col("_e")[c].alias(c) for c in rank]) if rank else F.lit(0))
+    nearest = measured.groupBy(*keys, "_rank").agg(F.min("_d").alias("_least"))
+    kept = measured.join(nearest, [*keys, "_rank"]).where(F.col("_d") <= F.col("_least") + 2 * half)
+    if rank:
+        sure = nearest.where(F.col("_least") + half <= radius).groupBy(*keys).agg(F.min("_rank").alias("_sure"))
+        kept = kept.join(sure, list(keys), "left").where(F.col("_sure").isNull() | (F.col("_rank") <= F.col("_sure"))).drop("_sure")
+    return kept.select(*keys, "_e")
 
 
 def nearest_edge(
     points: DataFrame, edges: DataFrame, radius: float, rank: Sequence[str] = (), carry: Sequence[str] = (),
     by: Sequence[str] = (), geometry: str = "geometry", out: str = "near", cell_edges: int = CELL_EDGES,
-    limit_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS, narrowings: int = 4,
+    limit_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS, splits: int = 4,
 ) -> DataFrame:
-    """Nearest edge within ``radius`` as a struct column, null where there is none.
+    """Nearest edge within ``radius`` as a struct column, null where there is none or the point has no finite place.
 
     ``edges`` has x1, y1, x2, y2, seq and the ``carry`` columns. Ties go by ``rank`` columns first, then
     distance, then the carried columns. ``by`` columns must be equal on both sides.
 
-    Where cells hold more than ``cell_edges`` edges, a search within an eighth of the radius comes first: what
-    it finds is nearest of all, and only points still open ask among the crowd.
+    Edges are listed once, in cells that hold points. A cell with more than ``cell_edges`` edges is split, by its
+    own count, into sub-cells that drop the edges nearest nowhere in them; splitting ends where it thins no more.
+    What stays crowded is asked once for each distinct position.
     """
     cell = 2.0 * radius
     keys = [*by, "_cx", "_cy"]
     names = list(dict.fromkeys([*rank, *carry, "seq", "x1", "y1", "x2", "y2", *(c for c in ("m0", "m1") if c in edges.columns)]))
-    listed = checkpointed(edge_cells(edges.select(*[c for c in names if c not in by], *by), radius, cell))
     x, y = F.col("_px"), F.col("_py")
-    placed = points.withColumns({"_px": F.col(f"{geometry}.x"), "_py": F.col(f"{geometry}.y")})
-    placed = placed.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
+    there = finite(F.col(geometry))
+    placed = points.withColumns({"_px": F.when(there, F.col(geometry)["x"]), "_py": F.when(there, F.col(geometry)["y"])})
+    placed = placed.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell), "_level": F.lit(0)})
+    spots = checkpointed(placed.where(x.isNotNull()).select(*by, "_px", "_py", "_cx", "_cy", "_level").distinct())
+    occupied = spots.select(*keys).distinct()
+    listed = edge_cells(edges.select(*[c for c in names if c not in by], *by), radius, cell, occupied, by)
+    listed = checkpointed(listed.select(*keys, F.struct(*[c for c in names if c not in by]).alias("_e")))
 
     def answer(e, px: Column, py: Column) -> Column:
         share, dist, fx, fy = _foot(px, py, e)
@@ -76,29 +114,38 @@ def nearest_edge(
             fields.append((e["m0"] + share * (e["m1"] - e["m0"])).alias("measure"))
         return F.struct(*fields, fx.alias("x"), fy.alias("y"))
 
-    per_cell = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.sum(row_bytes(listed)) + 64).alias("b"))
-    crowd = per_cell.agg(F.coalesce(F.max("n"), F.lit(0)).alias("m"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    if crowd["m"] <= cell_edges:
-        packed = listed.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in names if c not in by])).alias("_edges"))
-        joined = lookup_join(placed, packed, keys, None, "left", limit_bytes, hot_rows, crowd["b"])
-        options = F.filter(F.transform("_edges", lambda e: answer(e, x, y)), lambda a: a["dist"] <= radius)
-        return joined.withColumn(out, F.array_min(options)).drop("_edges", "_cx", "_cy", "_px", "_py")
-    settled = None
-    if not rank and narrowings > 0:
-        close = checkpointed(nearest_edge(points, edges, radius / 8, rank, carry, by, geometry, out, cell_edges, limit_bytes, hot_rows, narrowings - 1))
-        settled = close.where(F.col(out).isNotNull())
-        placed = close.where(F.col(out).isNull()).drop(out).withColumns({"_px": F.col(f"{geometry}.x"), "_py": F.col(f"{geometry}.y")})
-        placed = placed.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
-    # Crowded cells: ask once per distinct position, reduce before the shuffle, then look the answers up.
-    spots = placed.select(*by, "_cx", "_cy", "_px", "_py").distinct()
-    pairs = salted_join(spots, listed.withColumn("_e", F.struct(*[c for c in names if c not in by])).select(*keys, "_e"),
-                        keys, None, "inner", max(hot_rows // crowd["m"], 1))
-    best = (
-        pairs.withColumn("_a", answer(F.col("_e"), x, y)).where(F.col("_a.dist") <= radius)
-        .groupBy(*by, "_px", "_py").agg(F.min("_a").alias(out))
-    )
-    asked = lookup_join(placed.drop("_cx", "_cy"), best, [*by, "_px", "_py"], limit_bytes=limit_bytes, hot_rows=hot_rows).drop("_px", "_py")
-    return asked if settled is None else settled.unionByName(asked)
+    thin, level, size = [], 0, cell
+    per_cell = checkpointed(listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    while True:
+        crowded = per_cell.where(F.col("_n") > cell_edges)
+        fits = lookup_join(listed, crowded.select(*keys), keys, how="left_anti", limit_bytes=limit_bytes)
+        thin.append(fits.withColumn("_level", F.lit(level)))
+        if level == splits or crowded.limit(1).count() == 0:
+            break
+        crowd = lookup_join(listed, crowded.select(*keys), keys, how="left_semi", limit_bytes=limit_bytes)
+        # Spots of crowded cells move to their sub-cells.
+        marked = lookup_join(spots.where(F.col("_level") == level), crowded.select(*keys, F.lit(True).alias("_crowded")), keys, limit_bytes=limit_bytes)
+        level, size = level + 1, size / SPLIT
+        finer = {"_cx": F.floor(x / size), "_cy": F.floor(y / size), "_level": F.lit(level)}
+        moved = marked.where("_crowded").drop("_crowded").withColumns(finer)
+        stay = spots.where(F.col("_level") < level - 1).unionByName(marked.where("_crowded is null").drop("_crowded"))
+        spots = checkpointed(stay.unionByName(moved))
+        listed = checkpointed(_split_cells(crowd, spots.where(F.col("_level") == level).select(*keys).distinct(), keys, rank, size, radius))
+        before, per_cell = per_cell, checkpointed(listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+        if per_cell.agg(F.max("_n")).first()[0] == before.agg(F.max("_n")).first()[0]:
+            fits = lookup_join(listed, per_cell.where(F.col("_n") > cell_edges).select(*keys), keys, how="left_anti", limit_bytes=limit_bytes)
+            thin.append(fits.withColumn("_level", F.lit(level)))
+            break
+    still = lookup_join(listed, per_cell.where(F.col("_n") > cell_edges).select(*keys), keys, how="left_semi", limit_bytes=limit_bytes)
+    leaf = [*by, "_level", "_cx", "_cy"]
+    packed = checkpointed(reduce(DataFrame.unionByName, thin).groupBy(*leaf).agg(F.collect_list("_e").alias("_edges")))
+    options = F.filter(F.transform("_edges", lambda e: answer(e, x, y)), lambda a: a["dist"] <= radius)
+    easy = lookup_join(spots, packed, leaf, None, "inner", limit_bytes, hot_rows).select(*by, "_px", "_py", F.array_min(options).alias(out))
+    pairs = salted_join(spots.where(F.col("_level") == level), still, keys, None, "inner", max(hot_rows // max(cell_edges, 1), 1))
+    hard = pairs.withColumn("_a", answer(F.col("_e"), x, y)).where(F.col("_a.dist") <= radius).groupBy(*by, "_px", "_py").agg(F.min("_a").alias(out))
+    best = checkpointed(easy.where(F.col(out).isNotNull()).unionByName(hard))
+    asked = placed.drop("_cx", "_cy", "_level")
+    return lookup_join(asked, best, [*by, "_px", "_py"], limit_bytes=limit_bytes, hot_rows=hot_rows).drop("_px", "_py")
 
 
 def locate(
@@ -108,31 +155,33 @@ def locate(
     """Measure and foot point of the nearest position on a line (on the row's own line by default).
 
     With ``max_distance`` one pass; without it the search widens for the points still open until none is.
-    A point whose line has no edges stays without an answer.
+    A point without finite coordinates, or whose line has no edges, stays without an answer.
     """
     if max_distance is not None:
         return nearest_edge(points, edges, max_distance, by=by, carry=carry, geometry=geometry, out=out)
-    box = edges.agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x1", "y1", "x2", "y2")]).first()
+    corner = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x1", "y1", "x2", "y2")]
+    box = edges.agg(*corner).first()
     if box["min_x1"] is None:
         return nearest_edge(points, edges, first_radius, by=by, carry=carry, geometry=geometry, out=out)
+    g = F.col(geometry)
+    ends = points.where(finite(g)).agg(F.min(g["x"]).alias("x0"), F.max(g["x"]).alias("x1"), F.min(g["y"]).alias("y0"), F.max(g["y"]).alias("y1")).first()
+    wide = 0.0
+    if ends["x0"] is not None:  # no point is farther from an edge than the box around all of them is wide and high
+        wide = sum(max(ends[f"{c}1"], box[f"max_{c}1"], box[f"max_{c}2"]) - min(ends[f"{c}0"], box[f"min_{c}1"], box[f"min_{c}2"]) for c in "xy")
     edges = checkpointed(edges)
     known = edges.select(*by).distinct().withColumn("_known", F.lit(True)) if by else None
     todo, done, radius = points, [], first_radius
     while True:
         found = checkpointed(nearest_edge(todo, edges, radius, by=by, carry=carry, geometry=geometry, out=out))
-        open_rows = found.where(F.col(out).isNull() & F.col(geometry).isNotNull())
         if known is not None:
-            marked = lookup_join(open_rows, known, list(by))
-            open_rows = marked.where(F.col("_known")).drop("_known")
-        if open_rows.limit(1).count() == 0:
-            done.append(found)
+            found = lookup_join(found, known, list(by))
+        still = F.col(out).isNull() & finite(g) & (F.lit(True) if known is None else F.col("_known").isNotNull())
+        found = checkpointed(found.withColumn("_still", still).drop("_known"))
+        open_rows = found.where("_still").drop("_still")
+        if radius > wide or open_rows.limit(1).count() == 0:
+            done.append(found.drop("_still"))
             break
-        done.append(found.where(F.col(out).isNotNull()))
-        settled = found.where(F.col(out).isNull() & F.col(geometry).isNull())
-        done.append(settled)
-        if known is not None:
-            lost = lookup_join(found.where(F.col(out).isNull() & F.col(geometry).isNotNull()), known, list(by))
-            done.append(lost.where(F.col("_known").isNull()).drop("_known"))
+        done.append(found.where("not _still").drop("_still"))
         todo, radius = open_rows.drop(out), radius * 8
     return reduce(lambda a, b: a.unionByName(b), done)
 
