@@ -9,12 +9,13 @@ and offsets come from sums of range partitions. Each node carries
 
 * ``start``: place of its first token in the sequence; ``position``: position id of that token, as if only its
   ancestors stood before it (token j of the node has position id ``position + j``);
-* ``attend``: the ranges of its ancestors' tokens, outermost first; its own tokens also see those before them;
+* ``attend``: the ranges of its ancestors' tokens, outermost first, turns without a fork between them in one range;
+  its own tokens also see those before them;
 * ``loss_start``, ``loss_end``: its tokens under the loss mask, the text of an assistant's turn.
 
 Turns are ordered by turn, role and text, nulls first; a null role or text is empty; rows with a null conv_id are one
-conversation. Only conv_id, turn, role and text are read. No rows give no nodes. The paths of a conversation of n
-turns take n * n / 2 names; each turn's text is held alone.
+conversation. Only conv_id, turn, role and text are read. No rows give no nodes. A node's path
+and ranges are as long as its conversation has forks above it; each turn's text is held alone.
 """
 
 from __future__ import annotations
@@ -67,30 +68,53 @@ def parsed(text: str) -> list[tuple[str, str]]:
 
 
 def _named_turns(conversations: DataFrame) -> DataFrame:
-    """``(conv_id, role, text, path)``: names of a turn and all before it; turns come in order, one task for each conversation."""
+    """``(conv_id, role, text, depth, name, parent)``: a name stands for a turn and all before it; one task reads a conversation in order."""
     turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, path = object(), b""
+        now, name, depth = object(), b"", 0
         for batch in batches:
-            paths = []
+            out = []
             for conv, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
                 if conv != now:
-                    now, path = conv, b""
-                name = hashlib.blake2b(path[-_NAME:], digest_size=_NAME)
-                name.update(f"{len(role)}:{role}{text}".encode())
-                path += name.digest()
+                    now, name, depth = conv, b"", 0
+                above, depth = name, depth + 1
+                digest = hashlib.blake2b(above, digest_size=_NAME)
+                digest.update(f"{len(role)}:{role}{text}".encode())
+                name = digest.digest()
+                out.append((depth, name, above))
+            depths, names, parents = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(depths, pa.int64()), pa.array(names, pa.binary()), pa.array(parents, pa.binary())],
+                ["conv_id", "role", "text", "depth", "name", "parent"])
+
+    kinds = {"role": T.StringType(), "text": T.StringType(), "depth": T.LongType(), "name": T.BinaryType(), "parent": T.BinaryType()}
+    return ordered.mapInArrow(run, T.StructType([turns.schema["conv_id"], *(T.StructField(c, k) for c, k in kinds.items())]))
+
+
+def _paths(turns: DataFrame, forks: DataFrame) -> DataFrame:
+    """``(name, path, depth)`` of each node; a path names the segments down to the node's own.
+
+    A segment is a chain of turns without forks, so paths are as long as a conversation has forks, not turns.
+    """
+    marked = sized_join(turns.select("conv_id", "depth", "name", "parent"), forks.select("parent", F.lit(True).alias("fork")), ["parent"], "left")
+    ordered = marked.select("conv_id", "depth", "name", "fork").repartition("conv_id").sortWithinPartitions("conv_id", "depth")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = b""
+        for batch in batches:
+            paths = []
+            for depth, name, fork in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                path = name if depth == 1 else path + name if fork else path
                 paths.append(path)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(paths, pa.binary())],
-                                             ["conv_id", "role", "text", "path"])
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(paths, pa.binary()), batch.column(1)], ["name", "path", "depth"])
 
-    kind = T.StructType([turns.schema["conv_id"], *(T.StructField(c, T.StringType()) for c in ("role", "text")), T.StructField("path", T.BinaryType())])
-    return ordered.mapInArrow(run, kind)
+    return ordered.mapInArrow(run, "name binary, path binary, depth long").dropDuplicates(["name"])
 
 
 def _encoded(nodes: DataFrame, path: str) -> DataFrame:
-    """Token ids of each node, and which of them are under the loss mask."""
+    """Token ids of each named turn, and which of them are under the loss mask."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(path, special=False)
         for batch in batches:
@@ -103,9 +127,9 @@ def _encoded(nodes: DataFrame, path: str) -> DataFrame:
                 body, stop = at[1::3] - ends[:-1], at[2::3] - ends[:-1]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, 256), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())),
-                    pa.array(np.where(trained, body, 0)), pa.array(np.where(trained, stop, 0))], ["path", "ids", "loss_start", "loss_end"])
+                    pa.array(np.where(trained, body, 0)), pa.array(np.where(trained, stop, 0))], ["name", "ids", "loss_start", "loss_end"])
 
-    return nodes.select("path", "role", "text").mapInArrow(run, "path binary, ids array<int>, loss_start long, loss_end long")
+    return nodes.select("name", "role", "text").mapInArrow(run, "name binary, ids array<int>, loss_start long, loss_end long")
 
 
 def _placed(encoded: DataFrame) -> DataFrame:
@@ -113,14 +137,14 @@ def _placed(encoded: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
-            size = np.diff(np.asarray(batch.column(1).offsets)).astype(np.int64)
+            size = np.diff(np.asarray(batch.column(batch.schema.get_field_index("ids")).offsets)).astype(np.int64)
             local = total + np.cumsum(size) - size
             total += int(size.sum())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(size), part)), pa.array(size), pa.array(local)],
                                              [*batch.schema.names, "part", "size", "local"])
 
     parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = encoded.repartitionByRange(parts, "path").sortWithinPartitions("path")
+    ranged = encoded.repartitionByRange(parts, "path", "depth").sortWithinPartitions("path", "depth")
     kind = T.StructType([*encoded.schema.fields, *(T.StructField(c, T.LongType()) for c in ("part", "size", "local"))])
     placed = stored(ranged.mapInArrow(run, kind), "chat-placed")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,36 +153,45 @@ def _placed(encoded: DataFrame) -> DataFrame:
 
 
 def prefix_trees(conversations: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """The nodes ``(node, tree, depth, start, size, position, attend, ids, loss_start, loss_end)`` and the leaf of
-    each conversation ``(conv_id, n_turns, node, start)``."""
+    """The nodes ``(node, tree, depth, segment, start, size, position, attend, ids, loss_start, loss_end)`` and the
+    last node of each conversation ``(conv_id, n_turns, node, start)``; ``segment`` is where the node's segment starts."""
     turns = stored(_named_turns(conversations), "chat-turns")
-    nodes = turns.select("path", "role", "text").dropDuplicates(["path"])
-    name = F.substring("path", -_NAME, _NAME)
-    placed = stored(_placed(_encoded(nodes, path)).withColumn("node", name), "chat-nodes")
-    depth = (F.octet_length("path") / _NAME).cast("int")
-    line = placed.select("node", F.posexplode(F.transform(F.sequence(F.lit(1), depth), lambda i: F.substring(F.col("path"), (i - 1) * _NAME + 1, F.lit(_NAME)))).alias("level", "above"))
-    known = placed.select(F.col("node").alias("above"), F.col("start").alias("a"), F.col("size").alias("n"))
-    # A tree's first node is above all of its nodes; adaptive execution splits such a key.
-    seen = line.where(F.col("above") != F.col("node")).join(known, "above")
-    ranges = seen.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("level", "a", "n"))).alias("r")).select(
-        "node", F.aggregate("r", F.lit(0).cast("long"), lambda t, x: t + x["n"]).alias("position"),
+    nodes = turns.select("name", "role", "text").dropDuplicates(["name"])
+    forks = turns.select("parent", "name").distinct().groupBy("parent").agg(F.count(F.lit(1)).alias("n")).where(F.octet_length("parent") > 0).where("n > 1")
+    paths = _paths(turns, stored(forks, "chat-forks"))
+    placed = stored(_placed(_encoded(nodes, path).join(paths, "name")), "chat-nodes")
+    segments = placed.groupBy("path").agg(F.min("start").alias("a"), F.sum("size").alias("n"))
+    segments = stored(segments.withColumn("segment", F.substring("path", -_NAME, _NAME)), "chat-segments")
+    count = (F.octet_length("path") / _NAME).cast("int")
+    above = F.transform(F.sequence(F.lit(1), count - 1), lambda i: F.substring(F.col("path"), (i - 1) * _NAME + 1, F.lit(_NAME)))
+    line = segments.where(count > 1).select("path", F.posexplode(above).alias("level", "segment"))
+    # A tree's first segment is above all of its segments; adaptive execution splits such a key.
+    seen = line.join(segments.select("segment", "a", "n"), "segment")
+    ranges = seen.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("level", "a", "n"))).alias("r")).select(
+        "path", F.aggregate("r", F.lit(0).cast("long"), lambda t, x: t + x["n"]).alias("before"),
         F.transform("r", lambda x: F.struct(x["a"].alias("start"), (x["a"] + x["n"]).alias("end"))).alias("attend"))
-    none = F.array().cast("array<struct<start:long,end:long>>")
-    trees = placed.join(ranges, "node", "left").select(
-        "node", F.substring("path", 1, _NAME).alias("tree"), depth.alias("depth"), "start", "size",
-        F.coalesce("position", F.lit(0).cast("long")).alias("position"), F.coalesce("attend", none).alias("attend"), "ids", "loss_start", "loss_end")
+    kind = "array<struct<start:long,end:long>>"
+    known = segments.select("path", "a").join(ranges, "path", "left").select(
+        "path", "a", F.coalesce("before", F.lit(0).cast("long")).alias("before"), F.coalesce("attend", F.array().cast(kind)).alias("attend"))
+    own = F.when(F.col("start") > F.col("a"), F.array(F.struct(F.col("a").alias("start"), F.col("start").alias("end")))).otherwise(F.array().cast(kind))
+    trees = sized_join(placed, stored(known, "chat-known"), ["path"]).select(
+        F.col("name").alias("node"), F.substring("path", 1, _NAME).alias("tree"), "depth", F.col("a").alias("segment"), "start", "size",
+        (F.col("before") + F.col("start") - F.col("a")).alias("position"), F.concat("attend", own).alias("attend"), "ids", "loss_start", "loss_end")
     trees = stored(trees, "chat-trees")
-    leaves = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), F.max(F.struct(F.octet_length("path").alias("l"), name.alias("node"))).alias("leaf"))
-    leaves = sized_join(leaves.select("conv_id", "n_turns", F.col("leaf.node").alias("node")), trees.select("node", "start"), ["node"])
-    return trees, leaves
+    leaves = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), F.max(F.struct("depth", "name")).alias("leaf"))
+    leaves = stored(leaves.select("conv_id", "n_turns", F.col("leaf.name").alias("node")), "chat-ends")
+    return trees, sized_join(leaves, trees.select("node", "start"), ["node"])
 
 
 def read_back(trees: DataFrame, leaves: DataFrame, path: str) -> DataFrame:
-    """Digests of each conversation, read from the token sequence: a leaf's attention ranges name the turns before it."""
+    """Digests of each conversation, read from the token sequence: a last node's attention ranges hold the turns before it."""
     wanted = stored(leaves.select("node").distinct(), "chat-leaves")
-    ends = sized_join(trees.select("node", "start", "attend"), wanted, ["node"], "left_semi")
-    places = ends.select(F.col("start").alias("leaf"), F.explode(F.concat(F.transform("attend", lambda x: x["start"]), F.array("start"))).alias("start"))
-    turns = places.join(trees.select("start", "position", "ids", "loss_start", "loss_end"), "start")
+    ends = sized_join(trees.select("node", "segment", "start", "size", "attend"), wanted, ["node"], "left_semi")
+    # Each range lies in the segment at whose start it starts; the last one is prolonged by the node itself.
+    earlier = F.filter("attend", lambda x: x["start"] != F.col("segment"))
+    last = F.array(F.struct(F.col("segment").alias("start"), (F.col("start") + F.col("size")).alias("end")))
+    places = ends.select(F.col("start").alias("leaf"), F.explode(F.concat(earlier, last)).alias("r")).select("leaf", F.col("r.start").alias("segment"), F.col("r.end").alias("end"))
+    turns = places.join(trees.select("segment", "start", "position", "ids", "loss_start", "loss_end"), "segment").where(F.col("start") < F.col("end"))
     ordered = turns.select("leaf", "position", "start", "ids", "loss_start", "loss_end").repartition("leaf").sortWithinPartitions("leaf", "position", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
