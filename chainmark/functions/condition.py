@@ -35,15 +35,18 @@ def exceeds(stat: Column, limit: Column) -> Column:
     return F.when(limit.isNull(), F.lit(None).cast("string")).when(stat > limit, "exceeds").otherwise("")
 
 
-def flag_columns(class_name: Column, hand: Column) -> dict[str, Column]:
+def flag_columns(class_name: Column, hand: Column, digits: int | None = None) -> dict[str, Column]:
     """The 24 flags, in a fixed order, from columns named metric_track_param.
 
-    Statistics are compared at nine decimals: a mean that equals its limit must not exceed it in one run and
-    not in the next because partial sums came in another order.
+    Statistics are compared as they are. With ``digits`` they are rounded first, for those who would rather have
+    a mean at its limit come out the same in every order of summation.
     """
+    def value(name: str) -> Column:
+        return F.col(name) if digits is None else F.round(F.col(name), digits)
+
     limits = {(t, p): limit_of(class_name, p, hand, t) for t in TRACKS for p in STATUS_PARAMS}
     return {
-        f"status_{metric}_{track}_{param}": exceeds(F.round(F.col(f"{metric}_{track}_{param}"), 9), limits[track, param])
+        f"status_{metric}_{track}_{param}": exceeds(value(f"{metric}_{track}_{param}"), limits[track, param])
         for metric in STATUS_METRICS for track in ["e", "w"] for param in STATUS_PARAMS
     }
 

@@ -10,6 +10,11 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
 
+def whole_point(p: Column) -> Column:
+    """A position with both coordinates; null where one is missing or not a number."""
+    return F.when(p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"]), p)
+
+
 def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """G15."""
     dx, dy = x2 - x1, y2 - y1
@@ -57,6 +62,11 @@ def join_loop(a: Column, b: Column) -> Column:
     return F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.slice(b, F.lit(1), F.size(b) - 1))
 
 
+def join_pieces(pieces: Column) -> Column:
+    """G12 for any number of pieces: end to end, each without its last vertex."""
+    return F.flatten(F.transform(pieces, lambda p: F.slice(p, F.lit(1), F.size(p) - 1)))
+
+
 def number_text(col: Column, digits: int = 6) -> Column:
     """A coordinate with at most ``digits`` decimals and no trailing zeros."""
     text = F.regexp_replace(F.format_string(f"%.{digits}f", col), r"\.?0+$", "")
@@ -69,7 +79,7 @@ def _pair_text(p: Column, digits: int) -> Column:
 
 def point_wkt(p: Column, digits: int = 6) -> Column:
     """K2/K4."""
-    return F.when(p.isNotNull(), F.concat(F.lit("POINT ("), _pair_text(p, digits), F.lit(")")))
+    return F.when(whole_point(p).isNotNull(), F.concat(F.lit("POINT ("), _pair_text(p, digits), F.lit(")")))
 
 
 def line_wkt(pts: Column, digits: int = 6) -> Column:
@@ -78,6 +88,13 @@ def line_wkt(pts: Column, digits: int = 6) -> Column:
     return F.when(pts.isNotNull(), F.concat(F.lit("LINESTRING ("), pairs, F.lit(")")))
 
 
+def polygon_wkt(rings: Column, digits: int = 6) -> Column:
+    """K2/K6."""
+    def ring(pts):
+        return F.concat(F.lit("("), F.array_join(F.transform(pts, lambda p: _pair_text(p, digits)), ", "), F.lit(")"))
+    return F.when(rings.isNotNull(), F.concat(F.lit("POLYGON ("), F.array_join(F.transform(rings, ring), ", "), F.lit(")")))
+
+
 def _pairs(text: Column) -> Column:
     def one(pair):
         parts = F.split(F.trim(pair), r"\s+")
@@ -112,6 +129,7 @@ def _coords(p: Column) -> Column:
 def feature_json(kind: str, geometry: Column, properties: Column) -> Column:
     """K1: one GeoJSON feature as text; ``geometry`` is a point, a vertex list or a ring list."""
     if kind == "Point":
+        geometry = whole_point(geometry)
         coords = F.when(geometry.isNotNull(), _coords(geometry))
     elif kind == "LineString":
         coords = F.transform(geometry, _coords)
@@ -130,9 +148,14 @@ def feature_kind(text: Column) -> Column:
     return F.get_json_object(text, "$.geometry.type")
 
 
-def feature_coordinates(text: Column, kind: str) -> Column:
-    """Geometry of a GeoJSON feature text as struct or arrays of structs."""
+def feature_parts(text: Column) -> Column:
+    """Coordinates, as text, of each part of a feature: several for a Multi* geometry, else one."""
     raw = F.get_json_object(text, "$.geometry.coordinates")
+    return F.when(feature_kind(text).startswith("Multi"), F.from_json(raw, "array<string>")).otherwise(F.array(raw))
+
+
+def feature_coordinates(raw: Column, kind: str) -> Column:
+    """Coordinates text of one part as struct or arrays of structs."""
 
     def xy(a):
         return point(F.get(a, F.lit(0)), F.get(a, F.lit(1)))

@@ -10,7 +10,7 @@ from chainmark.functions import projection
 from chainmark.functions.columns import (
     as_double, chainage_km, clean_columns, id_part, is_clean, line_of_id, line_region, nan_to_null, rename, repair_id,
 )
-from chainmark.functions.geometry import point
+from chainmark.functions.geometry import point, whole_point
 from chainmark.operators.intervals import section_line
 
 
@@ -35,6 +35,11 @@ def derive_ids(df: DataFrame) -> DataFrame:
     )
 
 
+def identified(df: DataFrame) -> DataFrame:
+    """A raw measurement table with tidy columns and derived ids, all lines."""
+    return derive_ids(nan_to_null(clean_columns(rename(df, {"SF": "id"}))))
+
+
 def clean_measurements(df: DataFrame, srid: int | None = None) -> DataFrame:
     """A raw measurement table made ready; one with an ``id`` column only loses other lines.
 
@@ -42,11 +47,10 @@ def clean_measurements(df: DataFrame, srid: int | None = None) -> DataFrame:
     """
     if is_clean(df):
         return main_lines(df)
-    tidy = nan_to_null(clean_columns(rename(df, {"SF": "id"})))
-    tidy = derive_ids(tidy)
+    tidy = identified(df)
     if srid is not None and "geometry" in tidy.columns:
         x, y = projection.forward(F.col("geometry.x"), F.col("geometry.y"), srid)
-        tidy = tidy.withColumn("geometry", F.when(F.col("geometry").isNotNull(), point(x, y))).withColumn("srid", F.lit(srid))
+        tidy = tidy.withColumn("geometry", F.when(whole_point(F.col("geometry")).isNotNull(), point(x, y))).withColumn("srid", F.lit(srid))
     return main_lines(tidy)
 
 

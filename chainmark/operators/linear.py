@@ -14,16 +14,26 @@ from chainmark.operators.intervals import interval_join
 from chainmark.operators.scale import lookup_join, running_sum
 
 
+VERTEX = "struct<x:double,y:double>"
+
+
 def edge_table(lines: DataFrame, round_digits: int | None = None) -> DataFrame:
     """One row per edge ``(line_id, seq, x1, y1, x2, y2, m0, m1)`` with metres from the line start.
 
-    Edges without length are left out; ``round_digits`` rounds each edge length before it is added up.
+    ``lines`` has vertex rows ``(line_id, seq, x, y)`` with dense numbers, or vertex lists ``(line_id, pts)``, one for
+    each line (see ``duplicate_lines``). Edges without length are left out; ``round_digits`` rounds each edge length before it is added up.
     """
-    vertices = lines.select("line_id", F.posexplode("pts").alias("seq", "p"), F.col("pts").alias("_pts"))
-    edges = vertices.select(
-        "line_id", "seq", F.col("p.x").alias("x1"), F.col("p.y").alias("y1"),
-        F.get("_pts", F.col("seq") + 1).alias("q"),
-    ).where(F.col("q").isNotNull())
+    if "pts" in lines.columns:
+        lines = lines.select("line_id", F.posexplode("pts").alias("seq", "p")).select("line_id", "seq", "p.x", "p.y")
+    # Each vertex starts the edge of its number and ends the one before; the two meet by number, so no task holds a line.
+    here = F.struct("x", "y")
+    roles = F.array(F.struct(F.col("seq").cast("long").alias("n"), here.alias("p"), F.lit(None).cast(VERTEX).alias("q")),
+                    F.struct((F.col("seq") - 1).cast("long").alias("n"), F.lit(None).cast(VERTEX).alias("p"), here.alias("q")))
+    edges = (
+        lines.select("line_id", F.explode(roles).alias("r")).groupBy("line_id", F.col("r.n").alias("seq"))
+        .agg(F.max("r.p").alias("p"), F.max("r.q").alias("q")).where("p is not null and q is not null")
+        .select("line_id", "seq", F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), "q")
+    )
     length = distance(F.col("x1"), F.col("y1"), F.col("q.x"), F.col("q.y"))
     if round_digits is not None:
         unit = float(10 ** round_digits)
@@ -37,6 +47,17 @@ def edge_table(lines: DataFrame, round_digits: int | None = None) -> DataFrame:
     )
 
 
+def passes(edges: DataFrame, spots: DataFrame, tolerance: float = 1e-7) -> DataFrame:
+    """Every measure at which a line passes one of the positions ``(line_id, x, y)``, once each."""
+    near = lookup_join(edges, spots.select("line_id", F.col("x").alias("_x"), F.col("y").alias("_y")), ["line_id"], how="inner")
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    share = ((F.col("_x") - F.col("x1")) * dx + (F.col("_y") - F.col("y1")) * dy) / (dx * dx + dy * dy)
+    share = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+    gap = distance(F.col("x1") + share * dx, F.col("y1") + share * dy, F.col("_x"), F.col("_y"))
+    measure = F.round(F.col("m0") + share * (F.col("m1") - F.col("m0")), 6)  # two edges that meet there say the same
+    return near.where(gap <= tolerance).select("line_id", measure.alias("measure")).distinct()
+
+
 def zero_length_edges(lines: DataFrame) -> DataFrame:
     """Repeated vertices, reported because no edge is made of them."""
     pts = F.col("pts")
@@ -51,8 +72,8 @@ def zero_length_edges(lines: DataFrame) -> DataFrame:
 
 
 def line_totals(edges: DataFrame) -> DataFrame:
-    """Length per line from its edges."""
-    return edges.groupBy("line_id").agg(F.sum(F.col("m1") - F.col("m0")).alias("length"))
+    """Length per line: where its last edge ends, to the last bit, so that a measure kept to it lies on that edge."""
+    return edges.groupBy("line_id").agg(F.max("m1").alias("length"))
 
 
 def normalised(rows: DataFrame, edges: DataFrame, measure: str = "measure", out: str = "share") -> DataFrame:

@@ -75,26 +75,32 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join that spreads each key with more than ``hot_rows`` rows over several tasks.
 
-    The table of hot keys has at most (rows / hot_rows) rows, so broadcasting it is bounded. The salt is the
-    row position, which is fixed for rows read from files or from a checkpoint.
+    The salt is a hash of the row, so a task that runs again deals its rows alike. Rows with a null key match
+    nothing and go around the join. The table of hot keys is measured before it is broadcast.
     """
     keys = list(on)
-    hot = (
+    bare = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    around, fact = fact.where(bare), fact.where(~bare)
+    hot = checkpointed(
         fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > hot_rows)
         .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_ways"))
     )
+    listed = F.broadcast(hot) if measured_bytes(hot) <= BROADCAST_BYTES else hot
     fact_salted = (
-        _join(fact.withColumn("_row", F.monotonically_increasing_id()), F.broadcast(hot), keys, None, "left")
-        .withColumn("_salt", F.coalesce(F.pmod(F.col("_row"), F.col("_ways")), F.lit(0).cast("long")))
-        .drop("_row", "_ways")
+        _join(fact, listed, keys, None, "left")
+        .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.col("_ways")), F.lit(0).cast("long")))
+        .drop("_ways")
     )
     dim_salted = (
-        _join(dim, F.broadcast(hot), keys, None, "left")
+        _join(dim, listed, keys, None, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_ways"), F.lit(1).cast("long")) - 1)))
         .drop("_ways")
     )
-    return _join(fact_salted, dim_salted, keys + ["_salt"], condition, how).drop("_salt")
+    joined = _join(fact_salted, dim_salted, keys + ["_salt"], condition, how).drop("_salt")
+    if how == "left":
+        return joined.unionByName(around, allowMissingColumns=True).select(*joined.columns)
+    return joined.unionByName(around) if how == "left_anti" else joined
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], seq: str, value: str, out: str, block: int = 4096) -> DataFrame:

@@ -43,12 +43,12 @@ def mismatched_attributes(joined: DataFrame) -> DataFrame:
 
 
 def checked_attributes(joined: DataFrame, strict: bool = False) -> DataFrame:
-    """segments whose attribute row agrees; ``strict`` fails on the first that does not."""
+    """all segments, with ``attributes_agree``; ``strict`` fails on the first whose row is missing or disagrees."""
     good = F.col("has_attributes") & _agrees("table_start_km", "chainage_start_km") & _agrees("table_end_km", "chainage_end_km")
     if not strict:
-        return joined.where(good)
+        return joined.withColumn("attributes_agree", F.coalesce(good, F.lit(False)))
     failed = F.concat(F.lit("attributes missing or other kilometres at "), F.col("chainage_id"))
-    return joined.withColumn("has_attributes", F.when(good, True).otherwise(F.raise_error(failed).cast("boolean")))
+    return joined.withColumn("attributes_agree", F.when(good, True).otherwise(F.raise_error(failed).cast("boolean")))
 
 
 def with_centroid(rows: DataFrame, srid: int, geometry: str = "geometry") -> DataFrame:

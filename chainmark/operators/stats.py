@@ -11,7 +11,7 @@ from chainmark.constants import SPEED_MEASURES, WEAR_MEASURES
 from chainmark.functions.columns import class_key
 from chainmark.functions.condition import flag_columns, status_level, status_score, status_string
 from chainmark.operators.scale import lookup_join
-from chainmark.session import checkpointed
+from chainmark.session import checkpointed, stored
 
 # Largest group whose values one task may hold for exact percentiles: six measures of distinct doubles.
 GROUP_ROWS = 1_000_000
@@ -28,10 +28,16 @@ def _moments(measures: Mapping[str, str]) -> list[Column]:
     for source, name in measures.items():
         c = F.col(source)
         out += [F.min(c).alias(f"min_{name}"), F.max(c).alias(f"max_{name}"),
-                F.avg(c).alias(f"avg_{name}"), F.stddev_pop(c).alias(f"std_{name}")]
+                _mean(c).alias(f"avg_{name}"), F.stddev_pop(c).alias(f"std_{name}")]
     return out
 
 
+def _mean(col: Column) -> Column:
+    """Mean whose sum is exact to twelve decimals, so that it is the same in every order and can be compared as it is."""
+    exact = col.try_cast("decimal(26,12)")
+    return F.sum(exact).cast("double") / F.count(exact)
+
+
 def _complete(col: Column, missing: str, value: Column) -> Column:
     """With ``propagate`` a group that misses a value has no percentile; ``skip`` ignores missing values."""
     if missing == "skip":
@@ -116,19 +122,19 @@ def split_percentiles(points: DataFrame, measures: Mapping[str, str], key: str =
 
 def measure_stats(
     points: DataFrame, measures: Mapping[str, str], key: str = "section_id", missing: str = "propagate",
-    approx: bool = False, row_bound: int | None = None, hot_rows: int = GROUP_ROWS,
+    approx: bool = False, hot_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Count, min, max, mean, population deviation and p50/p75/p90 per group.
 
-    One shuffle where no group can exceed ``hot_rows`` (``row_bound`` is a known upper bound on rows, such as
-    the size of the whole table). Otherwise the sums come first, with the counts, and groups found large take
-    ``split_percentiles``, so that no task holds their values.
+    The key and the measures are written once, so that what made them runs once. Sums and counts come first, and
+    groups with more than ``hot_rows`` rows take ``split_percentiles``, so that no task holds their values.
     """
     points = in_section(points, key).select(key, *measures)
     count = F.count(F.lit(1)).alias("num_points")
     exact = _percentiles(measures, missing, approx)
-    if approx or (row_bound is not None and row_bound <= hot_rows):
+    if approx:
         return _spread(points.groupBy(key).agg(count, *_moments(measures), *exact), measures)
+    points = stored(points, "measures")
     base = checkpointed(points.groupBy(key).agg(count, *_moments(measures)))
     hot = base.where(F.col("num_points") > hot_rows).select(key, F.lit(True).alias("_hot"))
     if hot.limit(1).count() == 0:

@@ -19,7 +19,7 @@ WITH_EDGES = f"with {S.EDGES_SQL} "
 
 
 def edges(spark, sf_dir):
-    return linear.edge_table(S.lines(spark, sf_dir))
+    return linear.edge_table(S.vertices(spark, sf_dir))
 
 
 def stored_edges(spark, sf_dir):
@@ -43,9 +43,9 @@ def g4_lengths(spark, sf_dir):
     return linear.lengths_per_line(S.lines(spark, sf_dir)).select("line_id", "features", q(F.col("length"), 3).alias("length"))
 
 
-@query("f11_duplicate_lines", f"select {S.LINE_SQL.format('p_partkey % 4')} as line_id, count(*) as geometries from part where p_partkey % 5 <> 0 group by 1")
+@query("f11_duplicate_lines", f"select {S.LINE_SQL.format('p_partkey % 4')} as line_id, count(*) as geometries from part group by 1")
 def f11_duplicate_lines(spark, sf_dir):
-    v = S.vertices(spark, sf_dir).where((F.col("seq") * 4 + F.when(F.col("line_id") == "TLX", 0).when(F.col("line_id") == "MLX", 1).when(F.col("line_id") == "SML", 2).otherwise(3)) % 5 != 0)
+    v = S.vertices(spark, sf_dir)
     return linear.duplicate_lines(v.select("line_id", F.array(G.point(F.col("x"), F.col("y"))).alias("pts")))
 
 
@@ -110,8 +110,11 @@ def g7_interpolate(spark, sf_dir):
 def _pieces_sql(ranges: str, key: str) -> str:
     return f"""clipped as (select r.line_id, r.{key}, least(greatest(least(r.a, r.b), 0), t.length) as a, least(greatest(greatest(r.a, r.b), 0), t.length) as b
   from {ranges} r join totals t on r.line_id = t.line_id),
-bits as (select c.line_id, c.{key}, c.a, c.b, e.seq, greatest(c.a, e.m0) as f, least(c.b, e.m0 + e.len) as t, e.* exclude (line_id, seq)
+whole as (select c.line_id, c.{key}, c.a, c.b, e.seq, greatest(c.a, e.m0) as f, least(c.b, e.m0 + e.len) as t, e.* exclude (line_id, seq)
   from clipped c join edges e on e.line_id = c.line_id and c.a < e.m0 + e.len and c.b > e.m0),
+beyond as (select c.line_id, c.{key}, c.a, c.b, max(e.seq) as seq from clipped c join edges e on e.line_id = c.line_id and c.a = c.b and e.m0 <= c.a group by all),
+bits as (select * from whole where a < b union all select d.line_id, d.{key}, d.a, d.b, d.seq, d.a as f, d.a as t, e.* exclude (line_id, seq)
+  from beyond d join edges e on e.line_id = d.line_id and e.seq = d.seq),
 shapes as (select line_id, {key}, count(*) + 1 as vertices, sum(t - f) as length,
   min_by(x1 + (f - m0) / len * (x2 - x1), seq) as first_x, max_by(y1 + (t - m0) / len * (y2 - y1), seq) as last_y from bits group by 1, 2)"""
 
@@ -123,12 +126,12 @@ def _shape(df, key):
 
 
 _SHAPE_SQL = f"vertices, {q_sql('length', 3)} as length, {q_sql('first_x', 3)} as first_x, {q_sql('last_y', 3)} as last_y from shapes"
-_RANGES_SQL = f"ranges as (select line_id, section_id, end_km * 1003 + 0.25 as a, start_km * 1001 + 0.25 as b from sections where start_km < 450)"
+_RANGES_SQL = f"ranges as (select line_id, section_id, end_km * 1003 + 0.25 as a, start_km * 1001 + 0.25 as b from sections)"
 
 
 @query("g8_substring", f"with {S.EDGES_SQL}, {S.SECTIONS_SQL}, {_RANGES_SQL}, {_pieces_sql('ranges', 'section_id')} select line_id, section_id, {_SHAPE_SQL}")
 def g8_substring(spark, sf_dir):
-    s = S.sections(spark, sf_dir).where("start_km < 450")
+    s = S.sections(spark, sf_dir)
     ranges = s.select("line_id", "section_id", (F.col("end_km") * 1003 + 0.25).alias("a"), (F.col("start_km") * 1001 + 0.25).alias("b"))
     return _shape(linear.substring(ranges, stored_edges(spark, sf_dir), key="section_id"), "section_id")
 
@@ -136,13 +139,13 @@ def g8_substring(spark, sf_dir):
 _OFFSET_SQL = "(case line_id when 'TLX' then cast(-3.7 as double) when 'MLX' then 26.9 when 'SML' then 174 else 288.7 end)"
 
 
-@query("g9_by_chainage", f"with {S.EDGES_SQL}, {S.SECTIONS_SQL}, moved as (select line_id, section_id, 1000 * (start_km + 0.01 + {_OFFSET_SQL} - {_OFFSET_SQL}) as a, 1000 * (end_km + 0.01) as b from sections where start_km < 450), "
+@query("g9_by_chainage", f"with {S.EDGES_SQL}, {S.SECTIONS_SQL}, moved as (select line_id, section_id, 1000 * (start_km + 0.01 + {_OFFSET_SQL} - {_OFFSET_SQL}) as a, 1000 * (end_km + 0.01) as b from sections), "
        f"{_pieces_sql('moved', 'section_id')} select line_id, section_id, {_SHAPE_SQL}")
 def g9_by_chainage(spark, sf_dir):
     offset = F.lit(0.0)
     for name, km in LINE_START_KM.items():
         offset = F.when(F.col("line_id") == name, km).otherwise(offset)
-    s = S.sections(spark, sf_dir).where("start_km < 450").withColumns({
+    s = S.sections(spark, sf_dir).withColumns({
         "start_km": F.col("start_km") + 0.01 + offset, "end_km": F.col("end_km") + 0.01 + offset})
     return _shape(linear.section_shapes(s, stored_edges(spark, sf_dir), method="chainage"), "section_id")
 
@@ -150,7 +153,7 @@ def g9_by_chainage(spark, sf_dir):
 @query("g9_chord", f"with {S.EDGES_SQL}, {S.SECTIONS_SQL}, {_RANGES_SQL}, {_pieces_sql('ranges', 'section_id')} "
        f"select line_id, section_id, cast(2 as bigint) as vertices, {q_sql('first_x', 3)} as first_x, {q_sql('last_y', 3)} as last_y from shapes")
 def g9_chord(spark, sf_dir):
-    s = S.sections(spark, sf_dir).where("start_km < 450")
+    s = S.sections(spark, sf_dir)
     ranges = s.select("line_id", "section_id", (F.col("end_km") * 1003 + 0.25).alias("a"), (F.col("start_km") * 1001 + 0.25).alias("b"))
     return _shape(linear.section_shapes(ranges, stored_edges(spark, sf_dir), method="chord"), "section_id").drop("length")
 
@@ -223,17 +226,17 @@ def g13_centroids(spark, sf_dir):
     return c.select("line_id", q(F.col("c.x"), 3).alias("x"), q(F.col("c.y"), 3).alias("y"))
 
 
-_AREAS_SQL = """areas as (select s_suppkey as area_id, s_suppkey * 4990 % 499000 as cx, (s_suppkey % 4) * 20000 + cast(250 as double) as cy, 500 + s_acctbal % 900 as r from supplier where s_acctbal > 0),
+_AREAS_SQL = """areas as (select s_suppkey as area_id, s_suppkey * 4990 % 499000 as cx, (s_suppkey % 4) * 20000 + cast(250 as double) as cy, 500 + abs(s_acctbal) % 900 as r from supplier),
 rings as (select area_id, cx - r as x1, cy as y1, cx as x2, cy + r / 3 as y2 from areas union all select area_id, cx, cy + r / 3, cx + r, cy from areas
   union all select area_id, cx + r, cy, cx, cy - r / 3 from areas union all select area_id, cx, cy - r / 3, cx - r, cy from areas)"""
 
 
 def areas(spark, sf_dir):
     """Diamond-shaped areas along the lines, from ``supplier``."""
-    k, r = F.col("s_suppkey"), (500 + F.col("s_acctbal") % 900)
+    k, r = F.col("s_suppkey"), (500 + F.abs("s_acctbal") % 900)
     cx, cy = (k * 4990 % 499000).cast("double"), (k % 4) * F.lit(20000.0) + 250.0
     ring = F.array(G.point(cx - r, cy), G.point(cx, cy + r / 3), G.point(cx + r, cy), G.point(cx, cy - r / 3), G.point(cx - r, cy))
-    return S.table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(k.alias("area_id"), F.array(ring).alias("rings"))
+    return S.table(spark, sf_dir, "supplier").select(k.alias("area_id"), F.array(ring).alias("rings"))
 
 
 @query("g14_clip_points", f"with {S.SPOTS_SQL}, {_AREAS_SQL}, crossed as (select s.spot_id, e.area_id, count(*) as n from spots s join rings e "
@@ -361,9 +364,9 @@ def w2_running_distance(spark, sf_dir):
     return scale.running_sum(o, ["line"], "seq", "o_totalprice", "before", block=256).select("line", "seq", q(F.col("before"), 2).alias("before"))
 
 
-@query("f2_poi_by_name", "select p_partkey, cast(case when p_partkey % 2 = 0 then 662669.066 else 664948.312 end as double) as x from part where p_partkey % 3 < 2 and p_partkey % 2 = p_partkey % 2")
+@query("f2_poi_by_name", "select p_partkey, cast(case when p_partkey % 2 = 0 then 662669.066 else 664948.312 end as double) as x from part")
 def f2_poi_by_name(spark, sf_dir):
     wanted = F.when(F.col("p_partkey") % 2 == 0, "origin").otherwise("mainline_start")
     named = poi(spark).select("name", F.col("geometry.x").alias("x"))
-    rows = S.table(spark, sf_dir, "part").where("p_partkey % 3 < 2").select("p_partkey", wanted.alias("name"))
+    rows = S.table(spark, sf_dir, "part").select("p_partkey", wanted.alias("name"))
     return scale.lookup_join(rows, named, ["name"], how="inner").select("p_partkey", "x")

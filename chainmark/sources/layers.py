@@ -10,19 +10,19 @@ from pyspark.sql import types as T
 
 from chainmark.constants import LAYER_KINDS, LAYER_LINES
 from chainmark.functions.columns import union_all
-from chainmark.functions.geometry import feature_coordinates, feature_json, feature_kind, snap_grid
+from chainmark.functions.geometry import feature_coordinates, feature_json, feature_kind, feature_parts, snap_grid
 
 
 def features_of(texts: DataFrame, kind: str, properties: T.StructType | None = None, snap: bool = True) -> DataFrame:
     """Feature texts (column ``value``) of one geometry kind as rows.
 
-    With a ``properties`` schema its fields become columns, otherwise one text map. Features of another kind
-    are left out (see ``rejected``).
+    With a ``properties`` schema its fields become columns, otherwise one text map. Each part of a Multi*
+    geometry of the kind is a row. Features of another kind are left out; ``rejected`` counts them.
     """
     schema = properties or T.MapType(T.StringType(), T.StringType())
-    rows = texts.where(feature_kind(F.col("value")) == kind).select(
-        F.from_json(F.get_json_object("value", "$.properties"), schema).alias("properties"),
-        feature_coordinates(F.col("value"), kind).alias("geometry"))
+    rows = texts.where(feature_kind(F.col("value")).isin(kind, f"Multi{kind}")).select(
+        F.from_json(F.get_json_object("value", "$.properties"), schema).alias("properties"), F.explode(feature_parts(F.col("value"))).alias("_part"))
+    rows = rows.select("properties", feature_coordinates(F.col("_part"), kind).alias("geometry"))
     if snap:
         g = F.col("geometry")
         if kind == "Point":
@@ -36,10 +36,13 @@ def features_of(texts: DataFrame, kind: str, properties: T.StructType | None = N
 
 
 def feature_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One feature per row from files that hold one feature per line, as text."""
+    """One feature per row from files that hold one feature, or a whole collection, per line, as text."""
     lines = spark.read.text([paths] if isinstance(paths, str) else list(paths))
     value = F.regexp_replace(F.trim("value"), r",$", "")
-    return lines.select(value.alias("value")).where(F.get_json_object("value", "$.type") == "Feature")
+    kind = F.get_json_object("value", "$.type")
+    listed = F.from_json("value", "features array<string>")["features"]
+    each = F.when(kind == "FeatureCollection", listed).when(kind == "Feature", F.array("value"))
+    return lines.select(value.alias("value")).select(F.explode(each).alias("value"))
 
 
 def feature_texts_multiline(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -49,7 +52,7 @@ def feature_texts_multiline(spark: SparkSession, paths: str | Sequence[str]) ->
     f = F.col("f")
     text = F.concat(
         F.lit('{"type":"Feature","properties":'), F.coalesce(f["properties"], F.lit("null")),
-        F.lit(',"geometry":{"type":"'), f["geometry"]["type"], F.lit('","coordinates":'), f["geometry"]["coordinates"], F.lit("}}"))
+        F.lit(',"geometry":'), F.coalesce(F.concat(F.lit('{"type":"'), f["geometry"]["type"], F.lit('","coordinates":'), f["geometry"]["coordinates"], F.lit("}")), F.lit("null")), F.lit("}"))
     return docs.select(F.explode("features").alias("f")).select(text.alias("value"))
 
 
@@ -66,7 +69,7 @@ def rejected(texts: DataFrame, layer: str) -> DataFrame:
     """Features whose kind is not the one the layer must hold, counted per kind."""
     return (
         texts.select(feature_kind(F.col("value")).alias("kind"))
-        .where(F.coalesce(F.col("kind") != LAYER_KINDS[layer], F.lit(True)))
+        .where(F.coalesce(~F.col("kind").isin(LAYER_KINDS[layer], f"Multi{LAYER_KINDS[layer]}"), F.lit(True)))
         .groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
     )
 

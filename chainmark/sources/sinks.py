@@ -10,11 +10,14 @@ from pyspark.sql import types as T
 
 from chainmark.functions import projection
 from chainmark.functions.columns import join_set
-from chainmark.functions.geometry import line_wkt, point, point_wkt
+from chainmark.functions.geometry import line_wkt, point, point_wkt, polygon_wkt
 from chainmark.sources.database import write_layer
 from chainmark.sources.layers import as_features
 
 
+WKT = {"Point": point_wkt, "LineString": line_wkt, "Polygon": polygon_wkt}
+
+
 def kind_of(df: DataFrame, geometry: str = "geometry") -> str:
     """Geometry kind from the column type."""
     kind = df.schema[geometry].dataType
@@ -65,8 +68,7 @@ def write_geojson(df: DataFrame, path: str, srid: int, geometry: str = "geometry
 def csv_rows(df: DataFrame, srid: int, geometry: str = "geometry") -> DataFrame:
     """K2: geometry as WKT in degrees (twelve decimals, far below a millimetre), sets as text."""
     flat = flatten_sets(to_lonlat(df, srid, geometry))
-    text = point_wkt if kind_of(df, geometry) == "Point" else line_wkt
-    return flat.withColumn(geometry, text(F.col(geometry), 12))
+    return flat.withColumn(geometry, WKT[kind_of(df, geometry)](F.col(geometry), 12))
 
 
 def write_csv(df: DataFrame, path: str, srid: int, geometry: str = "geometry") -> None:
@@ -94,5 +96,4 @@ def write_output(df: DataFrame, srid: int, path: str | None = None, database: Ma
     if path:
         write_geojson(df, path, srid)
     if database:
-        text = point_wkt if kind_of(df) == "Point" else line_wkt
-        write_layer(df.withColumn("geometry", text(F.col("geometry"))), **database)
+        write_layer(df.withColumn("geometry", WKT[kind_of(df)](F.col("geometry"))), **database)

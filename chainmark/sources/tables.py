@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainmark.functions.columns import nan_to_null, union_all
-from chainmark.functions.geometry import parse_wkt_line, parse_wkt_point, point, wkt_kind
+from chainmark.functions.geometry import parse_wkt_line, parse_wkt_point, point, whole_point, wkt_kind
 
 
 def table_key(path: str) -> str:
@@ -59,12 +59,15 @@ def read_measurements(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_geometry(df: DataFrame) -> DataFrame:
-    """Geometry from lon/lat columns or from WKT text; a table with neither is refused."""
+    """Geometry from WKT text or from lon/lat columns; a table with neither is refused.
+
+    A stored table keeps degrees beside its text, so the text comes first. A missing coordinate gives no geometry.
+    """
     lower = {c.lower(): c for c in df.columns}
-    if "longitude" in lower and "latitude" in lower:
-        return df.withColumn("geometry", point(F.col(lower["longitude"]), F.col(lower["latitude"])))
     if "geometry_wkb" in df.columns:
-        return df.withColumn("geometry", parse_wkt_point(F.col("geometry_wkb"))).drop("geometry_wkb")
+        return df.withColumn("geometry", whole_point(parse_wkt_point(F.col("geometry_wkb")))).drop("geometry_wkb")
+    if "longitude" in lower and "latitude" in lower:
+        return df.withColumn("geometry", whole_point(point(F.col(lower["longitude"]), F.col(lower["latitude"]))))
     raise ValueError("no geometry column: expected Longitude and Latitude, or geometry_wkb")
 
 

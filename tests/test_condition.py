@@ -29,7 +29,7 @@ def test_limits(spark):
         assert {(r["class"], r["hand"]): r["v"] for r in rows} == {(c, h): expected_limit(c, param, h, track) for c, h in cases}
 
 
-@pytest.mark.parametrize("offset,flag", [(0.5, "exceeds"), (0.0, ""), (-0.5, ""), (1e-12, "")])
+@pytest.mark.parametrize("offset,flag", [(0.5, "exceeds"), (0.0, ""), (-0.5, ""), (1e-9, "exceeds")])
 def test_flag_is_strict(spark, offset, flag):
     names = [f"{m}_{t}_{p}" for m in STATUS_METRICS for t in "ew" for p in STATUS_PARAMS]
     rows = []
@@ -71,7 +71,7 @@ def measurements(spark, groups, seed=7, missing=0.0):
 
 
 @pytest.mark.parametrize("options,missing", [
-    ({"row_bound": 1}, "propagate"), ({}, "skip"), ({"hot_rows": 150}, "propagate"), ({"hot_rows": 0}, "skip")])
+    ({}, "propagate"), ({}, "skip"), ({"hot_rows": 150}, "propagate"), ({"hot_rows": 0}, "skip")])
 def test_statistics_match_numpy(spark, options, missing):
     groups = {"a": 1, "b": 2, "c": 37, "hot": 900, "hot2": 400, None: 50}
     rows, df = measurements(spark, groups, missing=0.002)
@@ -110,7 +110,7 @@ def test_missing_group_has_no_flag(spark):
     rows = [("a", None, *[20.0] * 5), ("a", *[20.0] * 6)]
     df = spark.createDataFrame(rows, "section_id string, " + ", ".join(f"{c} double" for c in WEAR_MEASURES))
     sections = spark.createDataFrame([("a", 1, "Tangent", None)], "section_id string, seq int, classification string, hand string")
-    row = stats.with_status(stats.with_section(stats.rp_stats(df, row_bound=2), sections)).first()
+    row = stats.with_status(stats.with_section(stats.rp_stats(df), sections)).first()
     assert row["status_avg_e_vert_wear"] == "exceeds" and row["status_p90_e_vert_wear"] == "" and row["status_p90_w_vert_wear"] == "exceeds"
 
 

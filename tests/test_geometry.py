@@ -185,7 +185,7 @@ def test_texts(spark):
     assert (row["pw"], row["lw"]) == ("POINT (1.5 -2)", "LINESTRING (0 1, 2.5 3)")
     for kind, column in (("Point", "p"), ("LineString", "l"), ("Polygon", "g")):
         text = df.select(G.feature_json(kind, F.col(column), F.struct(F.lit("n").alias("name"))).alias("value"), F.col(column).alias("was"))
-        assert text.where(G.feature_coordinates(F.col("value"), kind) == F.col("was")).count() == 1
+        assert text.where(G.feature_coordinates(F.get(G.feature_parts(F.col("value")), F.lit(0)), kind) == F.col("was")).count() == 1
 
 
 def test_attributes_are_checked(spark):
@@ -197,8 +197,46 @@ def test_attributes_are_checked(spark):
     track = spark.createDataFrame([("CHAIN-MLX-S-00269-E-00270-MAINLINE", 26.9, 27.0, "x", "good"), ("CHAIN-MLX-S-00268-E-00269-MAINLINE", 26.8, 27.3, "x", "bad")],
                                   "`Chainage ID` string, `Chainage Start (km)` double, `Chainage End (km)` double, `2023` string, `Rail Type` string")
     joined = sections.with_attributes(segments, track)
-    assert "2023" not in joined.columns and [r["rail_type"] for r in sections.checked_attributes(joined).collect()] == ["good"]
+    assert "2023" not in joined.columns and {(r["rail_type"], r["attributes_agree"]) for r in sections.checked_attributes(joined).collect()} == {("good", True), ("bad", False), (None, False)}
     assert [r["line_id"] for r in sections.mismatched_attributes(joined).collect()] == ["TLX"]
     assert [r["line_id"] for r in sections.missing_attributes(segments, track).collect()] == ["EML"]
     with pytest.raises(PySparkException):
         sections.checked_attributes(joined, strict=True).collect()
+
+
+def test_missing_coordinates_end_the_search(spark):
+    rows = [(1, None), (2, (None, 1.0)), (3, (float("nan"), 1.0)), (4, (float("inf"), 1.0)), (5, (3.0, 4.0)), (6, (1e6, 0.0))]
+    points = spark.createDataFrame(rows, "spot_id int, geometry struct<x:double,y:double>")
+    edges = spark.createDataFrame([("A", 0, 0.0, 0.0, 10.0, 0.0, 0.0, 10.0)], "line_id string, seq long, x1 double, y1 double, x2 double, y2 double, m0 double, m1 double")
+    found = {r["spot_id"]: r["near"] for r in spatial.locate(points, edges, by=(), carry=("line_id",)).collect()}
+    assert {k: v and v["measure"] for k, v in found.items()} == {1: None, 2: None, 3: None, 4: None, 5: 3.0, 6: 10.0}
+    assert G.point_wkt(F.col("geometry")) is not None
+    text = points.select("spot_id", G.point_wkt(F.col("geometry")).alias("t"))
+    assert {r["spot_id"]: r["t"] for r in text.where("spot_id in (2, 3, 5)").collect()} == {2: None, 3: None, 5: "POINT (3 4)"}
+
+
+@pytest.mark.parametrize("rank", [(), ("priority",)])
+def test_crowded_cells_agree_with_pairs(spark, rank):
+    """Very many edges in one cell, with and without a rank, against all pairs."""
+    rng = random.Random(2)
+    edges = [(i % 3, i, x, y, x + rng.uniform(-9, 9), y + rng.uniform(-9, 9)) for i in range(400) for x, y in [(rng.uniform(0, 60), rng.uniform(0, 60))]]
+    spots = [(k, (rng.uniform(-20, 80), rng.uniform(-20, 80))) for k in range(60)]
+
+    def apart(p, e):
+        dx, dy = e[4] - e[2], e[5] - e[3]
+        t = min(max(((p[0] - e[2]) * dx + (p[1] - e[3]) * dy) / (dx * dx + dy * dy), 0), 1)
+        return ((p[0] - e[2] - t * dx) ** 2 + (p[1] - e[3] - t * dy) ** 2) ** 0.5
+    want = {}
+    for k, p in spots:
+        reach = [((e[0],) if rank else ()) + (apart(p, e), e[1]) for e in edges if apart(p, e) <= 15]
+        want[k] = min(reach)[-1] if reach else None
+    df = spark.createDataFrame(edges, "priority int, seq long, x1 double, y1 double, x2 double, y2 double")
+    found = spatial.nearest_edge(spark.createDataFrame(spots, "k int, geometry struct<x:double,y:double>"), df, 15.0, rank=rank, cell_edges=8)
+    assert {r["k"]: r["near"] and r["near"]["seq"] for r in found.collect()} == want
+
+
+def test_ranges_beyond_the_ends(spark):
+    lines = spark.createDataFrame([("A", [(0.0, 0.0), (0.1, 0.0), (0.3, 0.0), (1.0, 0.0)])], "line_id string, pts array<struct<x:double,y:double>>")
+    ranges = spark.createDataFrame([("A", 1, 5.0, 9.0), ("A", 2, -3.0, -1.0), ("A", 3, 0.5, 7.0)], "line_id string, range_id int, a double, b double")
+    found = {r["range_id"]: [tuple(p) for p in r["pts"]] for r in linear.substring(ranges, linear.edge_table(lines)).collect()}
+    assert found[1] == [(1.0, 0.0)] * 2 and found[2] == [(0.0, 0.0)] * 2 and found[3][-1] == (1.0, 0.0)

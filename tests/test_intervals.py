@@ -88,7 +88,7 @@ def test_one_fact_shuffle_for_statistics(spark, sf_dir):
     """All measures of a section are aggregated behind one exchange of the measurements."""
     from chainmark.operators import stats
     from chainmark.plans import condition_queries as C
-    text = plan(stats.rp_stats(C.assigned(spark, sf_dir), row_bound=1))
+    text = plan(stats.rp_stats(C.assigned(spark, sf_dir)))
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(section_id" in line]
     assert len(exchanges) == 1 and "Python" not in text
 
@@ -112,3 +112,12 @@ def test_running_sum(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 700, "a").otherwise("b").alias("k"), F.col("id").alias("seq"), F.lit(1.0).alias("v"))
     rows = scale.running_sum(df, ["k"], "seq", "v", "s", block=64).collect()
     assert all(r["s"] == (r["seq"] if r["k"] == "a" else r["seq"] - 700) for r in rows)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+def test_null_keys_go_around_a_salted_join(spark, how):
+    fact = spark.range(300).selectExpr("id", "case when id % 3 > 0 then id % 2 end as k")
+    dim = spark.createDataFrame([(0, "a"), (None, "b")], "k long, v string")
+    ours = scale.lookup_join(fact, dim, ["k"], how=how, limit_bytes=0, hot_rows=10)
+    plain = fact.join(dim, "k", how).select(*ours.columns)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))

@@ -101,13 +101,18 @@ def test_observed_counts(spark):
 def test_whole_run(spark, tmp_path):
     """A loop at the end of the main line, sections with points, and all outputs."""
     centre = spark.createDataFrame([
-        ("Mainline", [(0.0, 0.0), (2000.0, 0.0), (6000.0, 0.0), (6500.0, 0.0)]),
+        ("Mainline", [(0.0, 0.0), (2000.0, 0.0), (6000.0, 0.0), (6000.0, -700.0), (2000.0, -700.0), (2000.0, 0.0), (1990.0, 0.0)]),
         ("Solomon Spur", [(6000.0, 500.0), (9000.0, 500.0)]), ("Eliwana Mainline", [(0.0, 5000.0), (1000.0, 5000.0)]), ("Yard", [(0.0, 9.0), (1.0, 9.0)]),
     ], "Layer string, geometry array<struct<x:double,y:double>>")
     poi = spark.createDataFrame([("origin", (0.0, 20.0)), ("mainline_start", (2000.0, 30.0))], "name string, geometry struct<x:double,y:double>")
     lines = condition_run.four_lines(centre, poi)
-    assert {r["line_id"]: [tuple(p) for p in r["pts"]] for r in lines.collect()}["TLX"] == [(0.0, 0.0), (2000.0, 0.0)]
-    ids = [f"CHAIN-{n}-S-{a:05d}-E-{a + 1:05d}-MAINLINE" for n, start, k in (("MLX", 249, 20), ("MLX", 269, 45), ("SML", 1740, 30), ("EML", 2887, 10)) for a in range(start, start + k)]
+    made = {r["line_id"]: [tuple(p) for p in r["pts"]] for r in lines.collect()}
+    assert made["TLX"] == [(0.0, 0.0), (2000.0, 0.0)]
+    # The loop comes back to the cut: two pieces, joined end to end, each without its last vertex.
+    assert made["MLX"] == [(2000.0, 0.0), (6000.0, 0.0), (6000.0, -700.0), (2000.0, -700.0), (2000.0, 0.0)]
+    with pytest.raises(ValueError, match="MLX"):
+        condition_run.four_lines(centre.unionByName(centre.where("Layer = 'Mainline'")), poi)
+    ids = [f"CHAIN-{n}-S-{a:05d}-E-{a + 1:05d}-MAINLINE" for n, start, k in (("MLX", 249, 20), ("MLX", 269, 90), ("SML", 1740, 30), ("EML", 2887, 10)) for a in range(start, start + k)]
     attributes = spark.createDataFrame([(i, int(i[12:17]) / 10, int(i[12:17]) / 10 + 0.1, "x") for i in ids], "`Chainage ID` string, `Chainage Start (km)` double, `Chainage End (km)` double, `2024` string")
     switches = spark.createDataFrame([("sw1", 1.0, 0.5, 150.0, 40.0), ("sw2", 2.0, 0.5, 2150.0, -40.0), ("sw3", 3.0, 0.5, 150.0, 900.0)],
                                      "Name string, `Chainage 12d (m)` double, Offset double, Easting double, Northing double")
@@ -119,7 +124,7 @@ def test_whole_run(spark, tmp_path):
         ("Thomas", "MLW", 25, 100, 20.0), ("Thomas", "MLW", 25, 200, 20.0), ("Thomas", "MLW", 26, 600, 1.0), ("Avon", "SLB", 174, 0, 9.0), ("Avon", "ZZZ", 174, 0, 9.0), ("Avon", "SLB", 190, 0, 9.0))
         for i in range(2)], schemas.RP_RAW)
     tg = spark.createDataFrame([("Thomas_MLW_1", 25, 500.0, -20.4, 118.5, 80.0, 90.0)], schemas.TG_RAW)
-    result = condition_run.run(centre, switches, attributes, curves, tables.with_geometry(rp), tables.with_geometry(tg), poi=poi, row_bound=100)
+    result = condition_run.run(centre, switches, attributes, curves, tables.with_geometry(rp), tables.with_geometry(tg), poi=poi)
     rows = {r["section_id"]: r for r in result.rp_sections.collect()}
     assert {k: (r["num_points"], r["status_string"], r["status_level"], r["max_speed"]) for k, r in rows.items()} == {
         "c1": (4, "GRR-GRR", "R", 80.0), "c2": (2, "GGG-GGG", "G", None), "c3": (2, "GGR-GGR", "R", None)}
@@ -129,6 +134,13 @@ def test_whole_run(spark, tmp_path):
     found = {r["id"]: r["chainage_id"] for r in result.switches.collect()}
     assert found == {"sw1": "CHAIN-TLX-S-00250-E-00251-MAINLINE", "sw2": "CHAIN-MLX-S-00270-E-00271-MAINLINE", "sw3": None}
     assert sorted(result.switches.columns) == sorted(["id", "offset", "chainage", "geometry", "segment_line_id", "chainage_id", "distance"])
+    reports = {k: v.collect() for k, v in result.reports.items()}
+    assert len(result.segments.collect()) == result.segments.select("chainage_id").distinct().count() and not reports["reversed_sections"]
+    assert {r["section_id"] for r in reports["lost_ends"]} == {"c4"} and {r["code"] for r in reports["unknown_codes"]} == {"ZZZ"}
+    assert sum(r["points"] for r in reports["unmatched"]) == 2
+    few = attributes.where("`Chainage ID` not like '%00270%'")
+    wrong = condition_run.run(centre, switches, few, curves, tables.with_geometry(rp), tables.with_geometry(tg), poi=poi).reports["wrong_attributes"]
+    assert {r["chainage_id"] for r in wrong.collect()} >= {"CHAIN-MLX-S-00269-E-00270-MAINLINE", "CHAIN-MLX-S-00270-E-00271-MAINLINE"}
     condition_run.write_cleaned(result, str(tmp_path))
     again = tables.read_measurements(spark, str(tmp_path / "rp_data"))
     assert cleaning.clean_measurements(again).count() == 10 and again.where("line_id = 'SML'").count() == 4
@@ -136,3 +148,26 @@ def test_whole_run(spark, tmp_path):
     assert layers.feature_texts(spark, str(tmp_path / "mlx_segments.geojson")).count() == result.segments.where("line_id = 'MLX'").count()
     assert spark.read.option("header", True).csv(str(tmp_path / "rp_sections.csv")).count() == 3
     assert layers.feature_texts(spark, str(tmp_path / "tg_sections_geoms.geojson")).count() == 1
+
+
+def test_collections_on_one_line_and_multi_parts(spark, tmp_path):
+    multi = '{"type":"Feature","properties":{"n":3},"geometry":{"type":"MultiLineString","coordinates":[[[0,0],[1,1]],[[2,2],[3,3],[4,4]]]}}'
+    area = '{"type":"Feature","properties":{"n":4},"geometry":{"type":"MultiPolygon","coordinates":[[[[0,0],[1,0],[1,1],[0,0]]],[[[5,5],[6,5],[6,6],[5,5]]]]}}'
+    bare = '{"type":"Feature","properties":{"n":5},"geometry":null}'
+    path = tmp_path / "one_line.geojson"
+    path.write_text('{"type":"FeatureCollection","features":[' + ",".join([multi, bare, area]) + "]}")
+    props = T.StructType.fromDDL("n int")
+    lines = layers.read_geojson(spark, str(path), "LineString", props).collect()
+    assert [(r["n"], len(r["geometry"])) for r in lines] == [(3, 2), (3, 3)]
+    areas = layers.read_geojson(spark, [str(path), str(path)], "Polygon", props)
+    assert [r["n"] for r in areas.collect()] == [4] * 4
+    assert {(r["kind"], r["rows"]) for r in layers.rejected(layers.feature_texts(spark, str(path)), "path").collect()} == {(None, 1), ("MultiPolygon", 1)}
+    assert [r["n"] for r in layers.read_geojson(spark, str(path), "Polygon", props, multiline=True).collect()] == [4, 4]
+    text = sinks.csv_rows(areas.limit(1), 28350).first()["geometry"]
+    assert text.startswith("POLYGON ((") and text.count(",") == 3
+
+
+def test_scratch_tables_go(spark):
+    from chainmark import session
+    df = session.stored(spark.range(3), "t")
+    assert df.count() == 3 and session.clear_scratch(spark) >= 1
