@@ -11,7 +11,7 @@ from chainmark.session import local_session
 
 HEADLINE = [
     "t5_status", "a1_rp_stats", "j3_interval_join", "a7_tg_stats", "j7_rp_tg_left", "j2_segment_lookup", "p8_line_id",
-    "f3_mainline_filter", "g3_edges", "g7_interpolate", "g8_substring", "g11_segments", "g6_snap", "j5_nearest_switch",
+    "f3_mainline_filter", "g3_edges", "g7_interpolate", "g8_substring", "g11_segments", "g6_snap", "g6_snap_crowded", "j5_nearest_switch",
     "g14_clip_points", "n2_n3_n4_n7_devices", "n11_j12_path_counts", "w3_sequence_ids", "b3_b4_merged_positions",
 ]
 

@@ -209,6 +209,18 @@ def edge_tables(
     return {name: makers[name]() for name in wanted}
 
 
+def used_edges(
+    edges: DataFrame, roles: Mapping[str, set[str]], duct_specs: Sequence[tuple[str, int, int | None, str]],
+) -> tuple[DataFrame, DataFrame]:
+    """The ducts and cables that arcs are counted from, straight from the edges: counting needs no devices and no numbers."""
+    def having(role: str) -> DataFrame:
+        return edges.where(has_any(F.col("tags"), sorted(roles[role])) if roles.get(role) else F.lit(False))
+
+    ducts = having("SOLUTION_DUCT").where(spec_of(F.col("tags"), F.col("size"), duct_specs) != "")
+    return (ducts.select("tags", "arcs", or_default(F.col("duct_info")["group_id"], "").alias("duct_group")),
+            having("SOLUTION_EDGE").select("tags", "arcs"))
+
+
 def path_from_cables(cables: DataFrame) -> DataFrame:
     """One path row per cable."""
     number = F.regexp_extract("id", r"(\d+)$", 1)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from chainmark.session import checkpointed
 
-BROADCAST_BYTES = 128 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 4_000_000
 
 
