@@ -13,15 +13,35 @@ from chainmark.session import scratch_path
 #: A side is broadcast only when its measured bytes are at most this; beyond, both sides shuffle.
 BROADCAST_BYTES = 16 << 20
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Stands for a null id where ids are join keys.
 NO_ID = -(1 << 63)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows to the shared folder and read them back: one fixed copy, read with column pruning."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write the rows to the shared folder and read them back: one fixed copy, read with column pruning.
+
+    The shuffle files of the write go when it ends, as nothing reads them again.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sized_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", limit: int = BROADCAST_BYTES) -> DataFrame:

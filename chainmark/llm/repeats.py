@@ -12,6 +12,7 @@ anchor form a bundle. Anchors are few, so the rounds move one small row for each
 4. of what is still open, each window is compared.
 
 All counts are aggregated before they are shuffled, so copies of a passage cost a row in each task, not one task.
+Joins shuffle at every size: what a text is joined to grows with the corpus. Tables go when the next is written.
 A text is known by its id and a hash of its content; repeated rows count as texts of their own.
 """
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainmark.llm.joins import id_key, sized_join, stored
+from chainmark.llm.joins import discard, id_key, stored
 from chainmark.llm.text import draws, flat, list_array, mix, rounds, spread
 
 #: First unit, last start and length of spans are packed into one long.
@@ -183,7 +184,14 @@ def _merged(lists: DataFrame) -> DataFrame:
 def _shared(rows: DataFrame, name: str) -> DataFrame:
     """Rows whose key occurs more than once, and not only in rows marked as known."""
     keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("k")).where("n > 1 and not k").select("key")
-    return stored(sized_join(rows, stored(keys, f"{name}-keys"), ["key"], "left_semi"), name)
+    keys = stored(keys, f"{name}-keys")  # a table, so that adaptive execution can split hot keys of the join
+    out = stored(rows.join(keys, "key", "left_semi"), name)
+    discard(keys)
+    return out
+
+
+def _with_lists(keyed: DataFrame, asked: DataFrame) -> DataFrame:
+    return keyed.join(asked, ["_id", "_text"]).select("_id", "_text", "_body", "spans", "marks")
 
 
 def repeated_starts(docs: DataFrame, width: int, units: Units, kinds: Sequence[Anchors]) -> DataFrame:
@@ -194,8 +202,10 @@ def repeated_starts(docs: DataFrame, width: int, units: Units, kinds: Sequence[A
         if asked is None:
             bundles = _all_bundles(keyed, width, units, anchors)
         else:
-            bundles = _asked_bundles(sized_join(keyed, asked, ["_id", "_text"]).select("_id", "_text", "_body", "spans", "marks"), width, units, anchors)
-        shared = _shared(stored(bundles, "bundles"), "bundles-shared")
+            bundles = _asked_bundles(_with_lists(keyed, asked), width, units, anchors)
+        bundles = stored(bundles, "bundles")
+        shared = _shared(bundles, "bundles-shared")
+        discard(bundles)
         counted = shared.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("speaker"))
         counted = stored(counted, "bundle-counts")
         contents = counted.groupBy("key").agg(F.count(F.lit(1)).alias("contents"))
@@ -203,16 +213,23 @@ def repeated_starts(docs: DataFrame, width: int, units: Units, kinds: Sequence[A
         info = stored(counted.join(contents, "key").where("n > 1 or contents > 1"), "bundle-info")
         span = (F.shiftleft(F.col("lo"), _BITS) + F.col("hi") - F.col("lo")).alias("span")
         ask = (F.col("contents") > 1) & ((F.col("n") == 1) | (place == F.col("speaker")))
-        met = sized_join(shared, info, ["key", "content"])
+        discard(counted)
+        met = shared.join(info, ["key", "content"])
         met = stored(met.select("_id", "_text", span, "known", (F.col("n") > 1).alias("again"), ask.alias("ask")), "bundle-met")
+        discard(shared, info)
         found.append(met.where("again and not known").select("_id", "_text", "span"))
         lists = met.where("ask").groupBy("_id", "_text").agg(F.sort_array(F.collect_set(F.struct("span", (F.col("known") | F.col("again")).alias("mark")))).alias("a"))
+        if asked is not None:
+            discard(asked)
         asked = stored(lists.select("_id", "_text", F.col("a.span").alias("spans"), F.col("a.mark").alias("marks")), "bundle-asked")
-    texts = sized_join(keyed, asked, ["_id", "_text"]).select("_id", "_text", "_body", "spans", "marks")
-    windows = stored(_windows(texts, width, units, kinds[-1]), "windows")
+    windows = stored(_windows(_with_lists(keyed, asked), width, units, kinds[-1]), "windows")
+    discard(asked)
     twice = windows.groupBy("key", "content").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("k")).where("n > 1 and not k").select("key", "content")
-    again = sized_join(windows.where("not known"), stored(twice, "windows-twice"), ["key", "content"], "left_semi")
-    found.append(again.select("_id", "_text", F.shiftleft("start", _BITS).alias("span")))
+    twice = stored(twice, "windows-twice")
+    again = windows.where("not known").join(twice, ["key", "content"], "left_semi")
+    again = stored(again.select("_id", "_text", F.shiftleft("start", _BITS).alias("span")), "windows-again")
+    discard(windows, twice)
+    found.append(again)
     spans = reduce(DataFrame.unionByName, found)
     return stored(_merged(spans.groupBy("_id", "_text").agg(F.collect_set("span").alias("spans"))), "repeats")
 
@@ -221,7 +238,7 @@ def with_repeats(docs: DataFrame, columns: list[str], width: int, units: Units,
     """The given columns, ``_body`` (the text, empty where null) and the ranges of repeated starts (empty lists for none)."""
     found = repeated_starts(docs, width, units, kinds)
     texts = docs.select(*columns, id_key().alias("_id"), F.xxhash64("text").alias("_text"), F.coalesce("text", F.lit("")).alias("_body"))
-    joined = sized_join(texts, found, ["_id", "_text"], "left")
+    joined = texts.join(found, ["_id", "_text"], "left")
     none = F.array().cast("array<long>")
     return joined.select(*columns, "_body", F.coalesce("los", none).alias("los"), F.coalesce("his", none).alias("his"))
 

@@ -3,9 +3,9 @@
 Suffixes start in buckets by their first bytes. Each refinement gives a suffix a new bucket identifier from its
 own and that of the suffix a few offsets later, reusing the identifiers made before, so the compared length
 doubles: 1, 2, 4 ... 256 bytes, and then ``WIDTH``. Identifiers are hashes of content, so all tasks agree on them
-without an exchange. Sorting every suffix of a corpus in Spark would move many times its size; so the first 128
+without an exchange. Sorting every suffix of a corpus in Spark would move many times its size; so the first 64
 bytes elect anchors (the lowest bucket among the suffixes of a window), and Spark refines only buckets of anchors
-that hold more than one suffix: by whole bundles of windows, then by anchors of 300 bytes, then by single windows,
+that hold more than one suffix: by whole bundles of windows, then by anchors of 360 bytes, then by single windows,
 each only where the step before left something open (see ``repeats``).
 
 Null text is empty. Texts below ``WIDTH`` bytes keep all. Repeated rows repeat each other's strings. A task holds
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from chainmark.llm.repeats import Pieces, covered, judged, with_repeats
 from chainmark.llm.text import EXACT, flat
 
-WIDTH, SEEDS = 400, (128, 300)
+WIDTH, SEEDS = 400, (64, 360)
 _PLACE = 28
 
 
