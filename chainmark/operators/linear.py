@@ -54,8 +54,10 @@ def passes(edges: DataFrame, spots: DataFrame, tolerance: float = 1e-7) -> DataF
     share = ((F.col("_x") - F.col("x1")) * dx + (F.col("_y") - F.col("y1")) * dy) / (dx * dx + dy * dy)
     share = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
     gap = distance(F.col("x1") + share * dx, F.col("y1") + share * dy, F.col("_x"), F.col("_y"))
-    measure = F.round(F.col("m0") + share * (F.col("m1") - F.col("m0")), 6)  # two edges that meet there say the same
-    return near.where(gap <= tolerance).select("line_id", measure.alias("measure")).distinct()
+    found = near.where(gap <= tolerance).select("line_id", (F.col("m0") + share * (F.col("m1") - F.col("m0"))).alias("measure"))
+    # Two edges that meet at the position say the same but for the last digits; passes of a line are few.
+    before = F.lag("measure").over(Window.partitionBy("line_id").orderBy("measure"))
+    return found.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("measure") - F.col("_before") > 100 * tolerance)).drop("_before")
 
 
 def zero_length_edges(lines: DataFrame) -> DataFrame:

@@ -220,6 +220,22 @@ def g12_join_loop(spark, sf_dir):
     return S.lines(spark, sf_dir).select("line_id", F.size(G.join_loop(p, F.reverse(p))).cast("long").alias("vertices"))
 
 
+@query("g10_g12_cut_at_passes", f"""with {S.EDGES_SQL}, placed as (select line_id, x, y, row_number() over (partition by line_id order by seq) - 1 as i, count(*) over (partition by line_id) - 1 as n from vertices),
+rest as (select line_id, 'rest' as part, i - 5 as pos, x, y from placed where i >= 5 union all select line_id, 'rest', 2 * n - 5 - i, x, y from placed where i between 1 and n - 1),
+head as (select line_id, 'head' as part, i as pos, x, y from placed where i <= 5)
+select line_id, part, cast(pos as integer) as pos, {q_sql('x', 3)} as x, {q_sql('y', 3)} as y from (select * from rest union all select * from head)""")
+def g10_g12_cut_at_passes(spark, sf_dir):
+    """Lines out and back, cut each time they pass their sixth vertex; the pieces after the first are joined. All vertices."""
+    there = S.lines(spark, sf_dir)
+    e = checkpointed(linear.edge_table(there.select("line_id", F.concat("pts", F.reverse("pts")).alias("pts"))))
+    spots = there.select("line_id", F.get("pts", F.lit(5)).alias("p")).select("line_id", "p.x", "p.y")
+    pieces = linear.cut_lines(e, linear.passes(e, spots)).select("line_id", "piece", "pts")
+    rest = pieces.where("piece > 0").groupBy("line_id").agg(F.array_sort(F.collect_list(F.struct("piece", "pts"))).alias("parts"))
+    rest = rest.select("line_id", F.lit("rest").alias("part"), G.join_pieces(F.transform("parts", lambda p: p["pts"])).alias("pts"))
+    both = pieces.where("piece = 0").select("line_id", F.lit("head").alias("part"), "pts").unionByName(rest)
+    return both.select("line_id", "part", F.posexplode("pts").alias("pos", "p")).select("line_id", "part", "pos", q(F.col("p.x"), 3).alias("x"), q(F.col("p.y"), 3).alias("y"))
+
+
 @query("g13_centroids", WITH_EDGES + f"select line_id, {q_sql('sum(len * (x1 + x2) / 2) / sum(len)', 3)} as x, {q_sql('sum(len * (y1 + y2) / 2) / sum(len)', 3)} as y from sized group by 1")
 def g13_centroids(spark, sf_dir):
     c = S.lines(spark, sf_dir).select("line_id", G.line_centroid(F.col("pts")).alias("c"))
@@ -239,6 +255,19 @@ def areas(spark, sf_dir):
     return S.table(spark, sf_dir, "supplier").select(k.alias("area_id"), F.array(ring).alias("rings"))
 
 
+def _number_sql(x: str) -> str:
+    return f"regexp_replace(printf('%.6f', cast({x} as double)), '\\.?0+$', '')"
+
+
+_CORNERS = [("cx - r", "cy"), ("cx", "cy + r / 3"), ("cx + r", "cy"), ("cx", "cy - r / 3"), ("cx - r", "cy")]
+
+
+@query("k2_polygon_text", f"with {_AREAS_SQL} select area_id, 'POLYGON ((' || " + " || ', ' || ".join(f"{_number_sql(x)} || ' ' || {_number_sql(y)}" for x, y in _CORNERS) + " || '))' as wkt from areas")
+def k2_polygon_text(spark, sf_dir):
+    """Polygons as the text that CSV files and database tables hold."""
+    return areas(spark, sf_dir).select("area_id", G.polygon_wkt(F.col("rings")).alias("wkt"))
+
+
 @query("g14_clip_points", f"with {S.SPOTS_SQL}, {_AREAS_SQL}, crossed as (select s.spot_id, e.area_id, count(*) as n from spots s join rings e "
        "on (e.y1 > s.y) <> (e.y2 > s.y) and s.x < e.x1 + (s.y - e.y1) / (e.y2 - e.y1) * (e.x2 - e.x1) group by 1, 2) select distinct spot_id from crossed where n % 2 = 1")
 def g14_clip_points(spark, sf_dir):
@@ -309,6 +338,13 @@ def j5_nearest_switch(spark, sf_dir):
     return spatial.nearest_segment(switches(spark, sf_dir), segments, LINES).select("id", "chainage_id")
 
 
+@query("j5_nearest_switch_crowded", f"with {S.EDGES_SQL}, {SEGMENTS_SQL}, {_SWITCH_SQL} select s.spot_id as id, p.chainage_id from spots s left join placed_hits p on s.spot_id = p.spot_id")
+def j5_nearest_switch_crowded(spark, sf_dir):
+    """The same where every cell counts as crowded: lines tried in order, sub-cells split, nothing broadcast."""
+    segments = checkpointed(all_segments(spark, sf_dir))
+    return spatial.nearest_segment(switches(spark, sf_dir), segments, LINES, cell_edges=0, limit_bytes=0, hot_rows=50).select("id", "chainage_id")
+
+
 @query("a8_switch_ids", f"with {S.EDGES_SQL}, {SEGMENTS_SQL}, {_SWITCH_SQL} select p.chainage_id, p.line_id, coalesce(string_agg(h.spot_id, ',' order by h.spot_id), '') as switch_ids "
        "from spans p left join placed_hits h on h.chainage_id = p.chainage_id group by 1, 2")
 def a8_switch_ids(spark, sf_dir):
