@@ -3,7 +3,7 @@
 * Filter directions are a product code: a turned vector is cut into halves, each half has a codebook of random unit
   directions with both signs, and a filter is one code of each half. A vector's score for a filter is the sum of
   two products, so the best filters are decoded from the best codes of each half without listing all filters.
-  A vector passes the ``PASSED`` filters of its cap (and all that tie with the last).
+  A vector's cap is as wide as to take in the ``PASSED`` best filters.
 * The number of filters grows with the number of vectors, four for each, so that buckets stay small.
 * Vectors that share a filter, label and length are compared in double precision. A bucket of more than ``BLOCK``
   vectors is cut into blocks, and pairs of blocks are tasks of their own. A pair counts in its first common
