@@ -11,7 +11,7 @@ from chainmark.constants import LINE_CHAINAGES, LINE_START_KM
 from chainmark.functions.columns import chainage_key
 from chainmark.functions.geometry import distance, point
 from chainmark.operators.intervals import interval_join
-from chainmark.operators.scale import lookup_join, running_sum
+from chainmark.operators.scale import lookup_join, numbered, running_sum
 
 
 VERTEX = "struct<x:double,y:double>"
@@ -193,14 +193,12 @@ def cut_lines(lines_edges: DataFrame, cuts: DataFrame) -> DataFrame:
         .where((F.col("measure") > 0) & (F.col("measure") < F.col("length")))
         .select("line_id", F.col("measure").alias("a")).distinct()
     )
-    starts = totals.select("line_id", F.lit(0.0).alias("a")).unionByName(inner)
-    along = Window.partitionBy("line_id").orderBy("a")
-    pieces = (
-        starts.withColumn("b", F.lead("a").over(along))
-        .withColumn("piece", (F.row_number().over(along) - 1).cast("long"))
-    )
-    pieces = lookup_join(pieces, totals, ["line_id"], how="inner")
-    pieces = pieces.select("line_id", "piece", "a", F.coalesce("b", "length").alias("b"))
+    # Numbered over range partitions: a piece ends where the one with the next number starts, so no task holds a line's cuts.
+    starts = numbered(totals.select("line_id", F.lit(0.0).alias("a")).unionByName(inner), ["line_id", "a"], "n")
+    ends = starts.select("line_id", (F.col("n") - 1).alias("n"), F.col("a").alias("b"))
+    heads = starts.groupBy("line_id").agg(F.min("n").alias("first"))
+    pieces = lookup_join(lookup_join(starts.join(ends, ["line_id", "n"], "left"), heads, ["line_id"], how="inner"), totals, ["line_id"], how="inner")
+    pieces = pieces.select("line_id", (F.col("n") - F.col("first")).alias("piece"), "a", F.coalesce("b", "length").alias("b"))
     shapes = substring(pieces, lines_edges, key="piece")
     return shapes.join(pieces, ["line_id", "piece"])
 

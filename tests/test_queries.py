@@ -13,7 +13,10 @@ SQL = oracle_sql()
 def test_query(spark, sf_dir, name):
     build = queries()[name]
     if name in SQL:
-        assert compare(spark, sf_dir, build, SQL[name]) in ("", "no rows on either side")
+        found = compare(spark, sf_dir, build, SQL[name])
+        if found == "no rows on either side":  # the smallest tables lack the case; agreement on nothing says nothing
+            found = compare(spark, "/root/testdata/sf0.01", build, SQL[name])
+        assert found == ""
     else:
         assert build(spark, sf_dir).count() > 0
 

@@ -125,6 +125,9 @@ def test_whole_run(spark, tmp_path):
         for i in range(2)], schemas.RP_RAW)
     tg = spark.createDataFrame([("Thomas_MLW_1", 25, 500.0, -20.4, 118.5, 80.0, 90.0)], schemas.TG_RAW)
     result = condition_run.run(centre, switches, attributes, curves, tables.with_geometry(rp), tables.with_geometry(tg), poi=poi)
+    for table in (result.rp_sections, result.tg_sections, result.segments, result.switches):  # written once; outputs read the copy
+        text = table._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        assert "Scan ExistingRDD" in text and "Join" not in text and "Aggregate" not in text
     rows = {r["section_id"]: r for r in result.rp_sections.collect()}
     assert {k: (r["num_points"], r["status_string"], r["status_level"], r["max_speed"]) for k, r in rows.items()} == {
         "c1": (4, "GRR-GRR", "R", 80.0), "c2": (2, "GGG-GGG", "G", None), "c3": (2, "GGR-GGR", "R", None)}
