@@ -132,3 +132,54 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sum(4 + length(head) + 2 + length(body) + 8)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+#: Classes of a relation ``links(u, v)`` in both directions: every row that each row reaches.
+_REACH = "reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u), low AS (SELECT u, min(v) AS low FROM reach GROUP BY u)"
+
+SQL["op4_embedding_near_dedup"] = f"""
+WITH RECURSIVE vectors AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+fine AS (SELECT * FROM vectors WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+sized AS (SELECT *, sqrt(list_dot_product(e, e)) AS size FROM fine),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM sized a JOIN sized b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+{_REACH},
+degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept
+FROM vectors LEFT JOIN degree d ON d.u = vec_id LEFT JOIN low w ON w.u = vec_id
+"""
+
+SQL["op5_recompression_dedup"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM w, unnest(range(1, len(w) - 33)) AS r(i) WHERE len(w) >= 35),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM windows JOIN twice USING (h), range(35) AS s(k)),
+kept AS (SELECT doc_id, string_agg(w[p], ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM (SELECT doc_id, w, p FROM w, unnest(range(1, len(w) + 1)) AS r(p)) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+SQL["op6_minhash_near_dedup"] = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM w, unnest(range(1, greatest(len(w) - 1, 2))) AS r(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * k >= 85 * (x.n + y.n - k)),
+{_REACH}
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(low, w.doc_id)) AS component_id, w.doc_id <= coalesce(low, w.doc_id) AS kept
+FROM w LEFT JOIN sizes z ON z.doc_id = w.doc_id LEFT JOIN low o ON o.u = w.doc_id
+"""
+
+SQL["op8_suffix_dedup"] = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (SELECT doc_id, k, substr(h, 1000 * k + 1, 1798) AS part FROM t, unnest(range(0, (length(h) + 999) // 1000)) AS r(k)),
+b AS (SELECT doc_id, 500 * k + j AS i, substr(part, 2 * j - 1, 2) AS x, CASE WHEN 2 * j + 798 <= length(part) THEN md5(substr(part, 2 * j - 1, 800)) END AS w
+  FROM blocks, unnest(range(1, least(500, length(part) // 2) + 1)) AS r(j)),
+twice AS (SELECT w, true AS again FROM b WHERE w IS NOT NULL GROUP BY w HAVING count(*) > 1),
+c AS (SELECT doc_id, i, x, coalesce(max(CASE WHEN again THEN i END) OVER (PARTITION BY doc_id ORDER BY i) >= i - 399, false) AS gone FROM b LEFT JOIN twice USING (w)),
+d AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM c),
+e AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS g, count(*) FILTER (begins) AS s, string_agg(x, '' ORDER BY i) FILTER (NOT gone) AS kept FROM d GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n, 0) AS n_bytes, coalesce(g, 0) AS n_removed, coalesce(s, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM t LEFT JOIN e ON e.doc_id = t.doc_id
+"""
