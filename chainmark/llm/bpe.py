@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from chainmark.llm.text import flat, list_array, rounds, spread
 from chainmark.llm.tokens import Splitter, vocabulary
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 _SHIFT = np.int64(1 << 20)
 
 
