@@ -4,8 +4,8 @@ A turn becomes ``### role:\\n`` text ``</turn>\\n``. Inside a role or text a bac
 and ``</turn>`` (in a role also colons), so control strings never appear unescaped and reading back is exact.
 
 Conversations that share their first turns share the nodes of a tree; a node is named by a hash of all turns up to
-it. Nodes are emitted once, depth-first, in one sequence of token ids: sorting by the path of names is that order,
-and offsets come from sums of range partitions. Each node carries
+it. Nodes are emitted once, depth-first, in one sequence of token ids: sorting by the path of segments (chains of
+turns without forks) and by depth is that order, and offsets come from sums of range partitions. Each node carries
 
 * ``start``: place of its first token in the sequence; ``position``: position id of that token, as if only its
   ancestors stood before it (token j of the node has position id ``position + j``);

@@ -64,14 +64,10 @@ def minimal_hashes(sets: DataFrame, percent: int = PERCENT, shingle: int = SHING
     keep = largest - F.ceil(largest * percent / 100).cast("long") + 1
     part = F.split("shingle", " ")
     hashed = F.coalesce(*[F.when(F.col("width") == k, F.xxhash64(*[F.get(part, F.lit(j)) for j in range(k)])) for k in range(1, shingle + 1)])
-    ranked = sets.groupBy("item", "width").agg(F.sort_array(F.collect_list(hashed)).alias("all"), keep_first(keep))
+    ranked = sets.groupBy("item", "width").agg(F.sort_array(F.collect_list(hashed)).alias("all"), F.first(keep).alias("keep"))
     return ranked.select("item", "width", F.explode(F.slice("all", F.lit(1), F.col("keep").cast("int"))).alias("hash")).distinct()
 
 
-def keep_first(keep: Column) -> Column:
-    return F.first(keep).alias("keep")
-
-
 def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """``(_id, _text, item_id, n, n_shared)`` of each item found in a text."""
     sets = stored(item_shingles(items, shingle), "items")

@@ -16,7 +16,6 @@ from __future__ import annotations
 import re._constants as kinds
 import re._parser as parser
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
