@@ -59,3 +59,28 @@ def test_pairs_at_the_threshold_share_a_filter(size):
     b = 0.98 * a + np.sqrt(1 - 0.98**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
     shared = [len(set(x) & set(y)) for x, y in zip(caps.passed_filters(a, size).tolist(), caps.passed_filters(b, size).tolist())]
     assert np.mean(np.array(shared) > 0) >= 0.999
+
+
+def pairs_at_the_threshold(dim, n, seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(n // 512):
+        a = rng.standard_normal((512, dim))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        z = rng.standard_normal(a.shape)
+        z -= (z * a).sum(1, keepdims=True) * a
+        yield a, 0.98 * a + np.sqrt(1 - 0.98**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
+# With one book a pair of 64 dimensions is missed at size 5000, and most pairs of few dimensions.
+@pytest.mark.parametrize(("dim", "size", "n", "seed"), [(64, 5000, 3072, 7), (64, 11000, 3072, 7), (16, 11000, 2048, 3), (9, 11000, 2048, 3), (8, 128, 2048, 1), (4, 128, 5120, 1), (2, 16, 5120, 1)])
+def test_no_pair_at_the_threshold_is_missed_at_any_size(dim, size, n, seed):
+    for a, b in pairs_at_the_threshold(dim, n, seed):
+        left, right = caps.passed_filters(a, size), caps.passed_filters(b, size)
+        assert all(set(x) & set(y) for x, y in zip(left.tolist(), right.tolist()))
+
+
+@pytest.mark.parametrize("dim", [2, 3, 4])
+def test_few_dimensions(spark, dim):
+    rows = rows_of(2, 60, dim)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert sorted((repr(r.vec_id), r.n_links, r.component_id, r.kept) for r in caps.near_vectors(df).collect()) == expected(rows)
