@@ -221,17 +221,27 @@ def s1_p16_line_features(spark, sf_dir):
     return rows.select(F.col("properties")["name"].alias("name"), F.get(g, F.lit(0))["x"].alias("x"), F.size(g).alias("vertices"), F.element_at(g, -1)["y"].alias("last_y"))
 
 
+def _layer_rows(spark, sf_dir):
+    """Customers as a layer of lines in two parts; every ninth one is a point."""
+    c = S.table(spark, sf_dir, "customer")
+    y = F.col("c_nationkey").cast("string")
+    lines = F.concat(F.lit('"MultiLineString","coordinates":[[[0,'), y, F.lit("],[1,"), y, F.lit("]],[[5,"), y, F.lit("],[6,"), y, F.lit("]]]"))
+    shape = F.when(F.col("c_custkey") % 9 == 0, F.concat(F.lit('"Point","coordinates":[0,'), y, F.lit("]"))).otherwise(lines)
+    text = F.concat(F.lit('{"type":"Feature","properties":{"name":"'), F.col("c_name"), F.lit('"},"geometry":{"type":'), shape, F.lit("}}"))
+    return c.select("c_custkey", text.alias("value"))
+
+
 @query("s1_s2_layers_from_files", "select c_name as name, cast(c_nationkey as double) as y, count(*) as parts, 2 * count(*) as n from customer, range(2) where c_custkey % 9 <> 0 group by 1, 2")
 def s1_s2_layers_from_files(spark, sf_dir):
-    """Layers written one feature per line and one collection per line, with parts of Multi* geometries, read together."""
-    c = S.table(spark, sf_dir, "customer").where("c_custkey % 9 <> 0")
-    y = F.col("c_nationkey").cast("string")
-    coords = F.concat(F.lit("[[[0,"), y, F.lit("],[1,"), y, F.lit("]],[[5,"), y, F.lit("],[6,"), y, F.lit("]]]"))
-    text = F.concat(F.lit('{"type":"Feature","properties":{"name":"'), F.col("c_name"), F.lit('"},"geometry":{"type":"MultiLineString","coordinates":'), coords, F.lit("}}"))
+    """Layers written one feature per line and one collection per line, with parts of Multi* geometries, read together.
+
+    Every customer is written; the reader leaves out the points.
+    """
+    c = _layer_rows(spark, sf_dir)
     each, together = scratch_path(spark, "features"), scratch_path(spark, "collections")
-    c.select(text.alias("value")).write.text(each)
+    c.select("value").write.text(each)
     block = F.floor(F.col("c_custkey") / 50)
-    listed = c.groupBy(block.alias("block")).agg(F.array_join(F.collect_list(text), ",").alias("all"))
+    listed = c.groupBy(block.alias("block")).agg(F.array_join(F.collect_list("value"), ",").alias("all"))
     listed.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.col("all"), F.lit("]}"))).write.text(together)
     rows = layers.read_geojson(spark, [each, together], "LineString", T.StructType([T.StructField("name", T.StringType())]))
     found = rows.groupBy("name", F.get("geometry", F.lit(0))["y"].alias("y")).agg(F.count(F.lit(1)).alias("n"))

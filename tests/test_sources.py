@@ -10,7 +10,7 @@ from chainmark import schemas
 from chainmark.functions import columns as C
 from chainmark.functions import geometry as G
 from chainmark.operators import cleaning
-from chainmark.plans import condition_run
+from chainmark.plans import cleaning_queries, condition_run
 from chainmark.sources import database, layers, sinks, tables
 
 FEATURES = [
@@ -174,3 +174,9 @@ def test_scratch_tables_go(spark):
     from chainmark import session
     df = session.stored(spark.range(3), "t")
     assert df.count() == 3 and session.clear_scratch(spark) >= 1
+
+
+def test_the_layer_query_writes_every_customer(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(cleaning_queries, "scratch_path", lambda _, name: str(tmp_path / name))
+    cleaning_queries.s1_s2_layers_from_files(spark, sf_dir)
+    assert spark.read.text(str(tmp_path / "features")).count() == spark.read.parquet(f"{sf_dir}/customer.parquet").count()
