@@ -33,9 +33,14 @@ def _moments(measures: Mapping[str, str]) -> list[Column]:
 
 
 def _mean(col: Column) -> Column:
-    """Mean whose sum is exact to twelve decimals, so that it is the same in every order and can be compared as it is."""
-    exact = col.try_cast("decimal(26,12)")
-    return F.sum(exact).cast("double") / F.count(exact)
+    """Mean whose sum is exact to twelve decimals, so that it is the same in every order and can be compared as it is.
+
+    So for groups whose values are zero or of a size from 1e-6 to below 1e14; a group that holds any other value,
+    NaN and infinity included, has the plain average of doubles.
+    """
+    exact, size = col.try_cast("decimal(26,12)"), F.abs(col)
+    outside = F.count_if((col.isNotNull() & exact.isNull()) | ((size > 0) & (size < 1e-6)))
+    return F.when(outside == 0, F.sum(exact).cast("double") / F.count(exact)).otherwise(F.avg(col.cast("double")))
 
 
 def _complete(col: Column, missing: str, value: Column) -> Column:

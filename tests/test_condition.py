@@ -93,6 +93,12 @@ def test_statistics_match_numpy(spark, options, missing):
                     assert row[f"p{p}_{name}"] == pytest.approx(np.percentile(values, p), abs=1e-9)
 
 
+@pytest.mark.parametrize("values", [[1e15, 3e15], [1.0, 1e14, 2e14], [-1e20, 5.0], [2e-13, 4e-13], [0.0, 3e-9], [1.0, float("inf")]])
+def test_mean_takes_values_of_any_size(spark, values):
+    df = spark.createDataFrame([("a", *[v] * 6) for v in values], "section_id string, " + ", ".join(f"{c} double" for c in WEAR_MEASURES))
+    assert stats.rp_stats(df).first()["avg_e_vert_wear"] == pytest.approx(np.mean(values), rel=1e-12, abs=0)
+
+
 def test_one_value_fills_a_hot_group(spark):
     """A third of all rows with the same value cannot be split by value; they are counted before the shuffle."""
     rows = [("hot", *[5.0] * 6)] * 3000 + [("hot", *[float(i)] * 6) for i in range(100)] + [("b", *[1.0] * 6)] * 5
