@@ -42,15 +42,23 @@ def anchors_of(width: int, seed: int):
     reach = width - seed + 1
 
     def anchors(pieces: Pieces, first: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = pieces[seed]
+        names = pieces[seed]
+        # Places are packed beside ranks, so longer runs of texts are cut into parts that overlap by a window.
+        step = (1 << _PLACE) - reach
+        part, found = starts // step, np.empty(len(starts), np.int64)
+        for p in np.unique(part):
+            mine, lo = part == p, int(p) * step
+            found[mine] = lo + lowest(names[lo:lo + step + reach - 1], starts[mine] - lo)
+        return names[found], found
+
+    def lowest(bucket: np.ndarray, starts: np.ndarray) -> np.ndarray:
         ranked = (bucket >> np.uint64(_PLACE) << np.uint64(_PLACE)) | np.arange(len(bucket), dtype=np.uint64)
         padded = np.full(-(-len(ranked) // reach) * reach, np.iinfo(np.uint64).max)
         padded[:len(ranked)] = ranked
         blocks = padded.reshape(-1, reach)
         ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
         behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-        place = (np.minimum(behind[starts], ahead[starts + reach - 1]) & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
-        return bucket[place], place
+        return (np.minimum(behind[starts], ahead[starts + reach - 1]) & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
 
     return anchors
 

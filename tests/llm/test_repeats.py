@@ -1,9 +1,11 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from chainmark.llm import recompression, suffix
+from chainmark.llm.repeats import Pieces, window_starts
 
 
 def check_words(spark, rows, width=recompression.WIDTH):
@@ -55,3 +57,15 @@ def test_whole_table(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     check_words(spark, rows)
     check_bytes(spark, rows)
+
+
+def test_anchors_of_texts_longer_than_a_packed_place(monkeypatch):
+    monkeypatch.setattr(suffix, "_PLACE", 10)
+    rng = np.random.default_rng(4)
+    first = np.array([0, 30, 5030, 9000])
+    pieces = Pieces(suffix.EXACT[rng.integers(0, 256, 9000)])
+    starts = window_starts(first, 40)[0]
+    names, places = suffix.anchors_of(40, 16)(pieces, first, starts)
+    rank = pieces[16] >> np.uint64(10)
+    assert places.tolist() == [s + int(np.argmin(rank[s:s + 25])) for s in starts.tolist()]
+    assert (names == pieces[16][places]).all()
