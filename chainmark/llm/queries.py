@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainmark.llm import bpe, caps, chat, decontaminate, minhash, quality, recompression, secrets, suffix, token_counts
+from chainmark.llm import alignment, bpe, caps, chat, decontaminate, minhash, prefix_trie, quality, recompression, secrets, suffix, token_counts
 from chainmark.plans.registry import Build
 
 QUERIES: dict[str, Build] = {}
@@ -79,6 +79,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignments(table(spark, sf_dir, "documents"), *paths)
+
+
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '')"
 
 SQL["op1_benchmark_decontamination"] = f"""
@@ -183,3 +194,27 @@ e AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS g, count(*) FILTER
 SELECT t.doc_id, coalesce(n, 0) AS n_bytes, coalesce(g, 0) AS n_removed, coalesce(s, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM t LEFT JOIN e ON e.doc_id = t.doc_id
 """
+
+#: crc32 of a number's decimal digits: one step per digit, eight per bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::UBIGINT)),
+  lambda a, d: list_reduce(list_prepend(xor(a, d), list_value(0, 0, 0, 0, 0, 0, 0, 0)::UBIGINT[]),
+    lambda b, z: xor(b >> 1, CASE WHEN b % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))), 4294967295::UBIGINT)"""
+
+SQL["op11_prefix_trie"] = rf"""
+WITH t AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || coalesce(text, ''))) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, w, ({_CRC} % 4)::BIGINT AS h FROM t),
+b AS (SELECT h.conv_id, list_concat(coalesce(t.w[1:h.h], []), h.w[h.h + 1:]) AS w FROM h LEFT JOIN t ON t.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, len(w) AS n, d, CASE WHEN d > 0 THEN len(regexp_extract_all(w[d].t, '[^ 	-
+]+')) ELSE 0 END AS words,
+    list_transform(range(0, d + 1), lambda i: md5(to_json(w[1:i])::VARCHAR)) AS names
+  FROM b, unnest(range(0, len(w) + 1)) AS r(d)),
+nodes AS (SELECT names[d + 1] AS name, any_value(names) AS names, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    string_agg(CASE WHEN n = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends FROM p GROUP BY names[d + 1], d),
+kids AS (SELECT names[d] AS name, count(*) AS n FROM nodes WHERE d > 0 GROUP BY names[d]),
+sums AS (SELECT a.name, count(*) FILTER (kids.n IS NULL) AS leaves, sum((n_convs - 1) * words)::BIGINT AS saved
+  FROM nodes LEFT JOIN kids USING (name), unnest(names) AS a(name) GROUP BY a.name)
+SELECT x.conv_id, x.d::BIGINT AS depth, y.conv_id AS parent_conv_id, x.n_convs, coalesce(kids.n, 0) AS n_children, sums.leaves AS n_leaves, sums.saved AS saved_tokens,
+  sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM nodes x LEFT JOIN nodes y ON y.name = x.names[x.d] LEFT JOIN kids ON kids.name = x.name JOIN sums ON sums.name = x.name
+"""
