@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chainmark.llm import alignment, bpe, caps, chat, decontaminate, minhash, prefix_trie, quality, recompression, secrets, suffix, token_counts
+from chainmark.llm import alignment, bpe, caps, chat, decontaminate, licenses, minhash, prefix_trie, quality, recompression, secrets, suffix, token_counts
 from chainmark.plans.registry import Build
 
 QUERIES: dict[str, Build] = {}
@@ -90,6 +90,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignments(table(spark, sf_dir, "documents"), *paths)
 
 
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '')"
 
 SQL["op1_benchmark_decontamination"] = f"""
@@ -218,3 +223,26 @@ SELECT x.conv_id, x.d::BIGINT AS depth, y.conv_id AS parent_conv_id, x.n_convs,
   sha256(coalesce(x.ends, '')) AS ends_sha256
 FROM nodes x LEFT JOIN nodes y ON y.name = x.names[x.d] LEFT JOIN kids ON kids.name = x.name JOIN sums ON sums.name = x.name
 """
+
+
+def _places(t: licenses.Template) -> str:
+    return f"list_filter(range(1, len(w) + 1), lambda i: w[i:i + {len(t.words) - 1}] = {t.words})"
+
+
+def _most(t: licenses.Template) -> str:
+    blocks = f"range(0, (len(w) + {t.width - 1}) // {t.width})"
+    return f"coalesce(list_max(list_transform({blocks}, lambda k: len(list_intersect({sorted(set(t.words))}, w[k * {t.width} + 1:k * {t.width} + {2 * t.width}])))), 0)"
+
+
+_SHARES = ", ".join(f"CASE WHEN m{i} >= {t.needed} THEN m{i} / {len(set(t.words))} ELSE 0 END" for i, t in enumerate(licenses.MORE))
+SQL["op13_license_scan"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+p AS (SELECT doc_id, w, {", ".join(f"{_places(t)} AS p{i}" for i, t in enumerate(licenses.BASE))}, {", ".join(f"{_most(t)} AS m{i}" for i, t in enumerate(licenses.MORE))} FROM d),
+q AS (SELECT *, list_concat({", ".join(f"p{i}" for i in range(len(licenses.BASE)))}) AS p,
+  list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{t.label}' END" for i, t in enumerate(licenses.BASE))}], lambda x: x IS NOT NULL) AS b,
+  list_filter([{", ".join(f"CASE WHEN m{i} >= {t.needed} THEN '{t.label}' END" for i, t in enumerate(licenses.MORE))}], lambda x: x IS NOT NULL) AS c FROM p)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(p)::BIGINT AS n_base, list_min(p)::BIGINT - 1 AS first_word, list_max(p)::BIGINT - 1 AS last_word,
+  array_to_string(list_sort(b), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(b, c))), ',') AS labels,
+  greatest(CASE WHEN len(p) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, {_SHARES})::DOUBLE AS score
+FROM q
+"""
