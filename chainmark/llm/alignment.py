@@ -135,9 +135,8 @@ class Aligner:
         ends = np.concatenate((a_end, b_end))
         order, group = coalesced(np.concatenate((a_end - self.a.sizes[a], b_end - self.b.sizes[b])), ends, kind)
         n_groups = int(group[-1]) + 1 if len(group) else 0
-        in_a = kind[order] == 0
+        in_a, first = kind[order] == 0, np.flatnonzero(np.diff(group, prepend=-1))
         a_size, b_size = np.bincount(group[in_a], minlength=n_groups), np.bincount(group[~in_a], minlength=n_groups)
-        first = np.searchsorted(group, np.arange(n_groups))
         group_doc = doc[order][first]
         out = {"n_a": np.bincount(a_doc, minlength=n), "n_b": np.bincount(b_doc, minlength=n), "n_groups": np.bincount(group_doc, minlength=n)}
         links = np.zeros(n, np.int64)
@@ -149,7 +148,7 @@ class Aligner:
     def digests(self, n: int, ids: np.ndarray, kind: np.ndarray, group: np.ndarray, doc: np.ndarray) -> list[str]:
         """Digest of ``a1,a2|b1;a3|b2`` of each text; '' where there are no tokens."""
         # Within a group A's ids stand before B's, each in order of start.
-        order = np.lexsort((kind, group))
+        order = np.argsort(group * 2 + kind, kind="stable")
         ids, kind, group, doc = ids[order], kind[order], group[order], doc[order]
         ending = np.zeros(len(ids), np.int64)
         if len(ids):
@@ -179,16 +178,23 @@ class Aligner:
                 to.append(values)
             lo = hi
         none = np.zeros(0, np.int64)
-        doc, key, time = _summed(*(np.concatenate([none, *x]) for x in (docs, keys, times)))
+        doc, key, time = (np.concatenate([none, *x]) for x in (docs, keys, times))
+        if len(docs) > 1:
+            doc, key, time = _summed(doc, key, time)
         return key, time, np.searchsorted(doc, np.arange(n + 1))
 
 
 def _summed(doc: np.ndarray, key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (text, pair), sorted, with their times added up."""
-    order = np.lexsort((key, doc))
-    doc, key, times = doc[order], key[order], times[order]
     if not len(doc):
         return doc, key, times
+    low = int(doc.min())
+    width = np.int64(int(key.max()) + 1)
+    if (int(doc.max()) - low + 1) * int(width) < 1 << 62:  # one sort key instead of two
+        order = np.argsort((doc - low) * width + key, kind="stable")
+    else:
+        order = np.lexsort((key, doc))
+    doc, key, times = doc[order], key[order], times[order]
     begin = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]))))
     return doc[begin], key[begin], np.add.reduceat(times, begin)
 
