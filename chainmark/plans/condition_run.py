@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from chainmark.constants import LINE_CHAINAGES, LINES
 from chainmark.functions.geometry import join_pieces
 from chainmark.operators import cleaning, intervals, linear, sections, spatial, stats
+from chainmark.operators.merging import merge_lines
+from chainmark.operators.scale import numbered
 from chainmark.session import checkpointed
 from chainmark.sources import layers, sinks
 
@@ -40,11 +42,16 @@ def four_lines(centreline: DataFrame, poi: DataFrame) -> DataFrame:
 
     The main line is cut at its position nearest to the point ``mainline_start``, each time it passes there. What
     lies before the first cut is TLX; the pieces after it make MLX, joined end to end where there are several.
-    A line of several features is refused.
+    Features of one line are merged where they meet end to end, in the direction of the one that sorts first; a line
+    that is still several pieces, or has a feature twice, is refused.
     """
     named = layers.split_layers(centreline.withColumnRenamed("geometry", "pts")).select("line_id", "pts")
+    if linear.duplicate_lines(named).limit(1).count():
+        parts = checkpointed(numbered(named, ["line_id", "pts"], "id"))
+        twice = parts.groupBy("line_id", "pts").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        named = checkpointed(merge_lines(parts, ["line_id"]).unionByName(twice, allowMissingColumns=True).select("line_id", "pts"))
     if several := linear.duplicate_lines(named).limit(10).collect():
-        raise ValueError(f"lines of several features: {sorted(r['line_id'] for r in several)}")
+        raise ValueError(f"lines of several pieces: {sorted(r['line_id'] for r in several)}")
     others = named.where(F.col("line_id") != "MLX")
     main = checkpointed(linear.edge_table(named.where(F.col("line_id") == "MLX")))
     start = spatial.snap(poi.where(F.col("name") == "mainline_start"), main)

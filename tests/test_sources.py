@@ -98,6 +98,20 @@ def test_observed_counts(spark):
     assert watch.get == {"rows": 7, "odd": 3}
 
 
+def test_a_line_of_several_features_is_merged(spark):
+    """The same line in three features, one of them turned round; apart from each other they are refused."""
+    poi = spark.createDataFrame([("mainline_start", (2000.0, 30.0))], "name string, geometry struct<x:double,y:double>")
+    cut = spark.createDataFrame([
+        ("Mainline", [(0.0, 0.0), (2000.0, 0.0)]), ("Mainline", [(6000.0, -700.0), (6000.0, 0.0), (2000.0, 0.0)]),
+        ("Mainline", [(6000.0, -700.0), (2000.0, -700.0), (1990.0, -600.0)])], "Layer string, geometry array<struct<x:double,y:double>>")
+    parts = cut
+    made = {r["line_id"]: [tuple(p) for p in r["pts"]] for r in condition_run.four_lines(parts, poi).collect()}
+    assert made["TLX"] == [(0.0, 0.0), (2000.0, 0.0)]
+    assert made["MLX"] == [(2000.0, 0.0), (6000.0, 0.0), (6000.0, -700.0), (2000.0, -700.0), (1990.0, -600.0)]
+    with pytest.raises(ValueError, match="MLX"):
+        condition_run.four_lines(parts.where("size(geometry) < 3 or geometry[1].y < 0"), poi)
+
+
 def test_whole_run(spark, tmp_path):
     """A loop at the end of the main line, sections with points, and all outputs."""
     centre = spark.createDataFrame([
