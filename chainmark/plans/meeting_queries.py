@@ -1,4 +1,4 @@
-"""Queries on lines that meet: crossings and joints, cutting there, and parts merged end to end."""
+"""Queries on lines that meet: crossings and joints, cutting there, parts merged end to end, and overlaps taken together."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainmark.functions.geometry import line_length, point
-from chainmark.operators import linear, merging, noding
+from chainmark.operators import covering, linear, merging, noding
 from chainmark.plans.registry import query
 from chainmark.plans.standins import q, q_sql, table
 from chainmark.session import checkpointed
@@ -115,3 +115,24 @@ def g19_merged_lines(spark, sf_dir):
     first, last = F.get("pts", F.lit(0)), F.get("pts", F.size("pts") - 1)
     return lines.select("chain", "parts", q(line_length(F.col("pts")), 3).alias("length"),
                         first["x"].alias("x1"), first["y"].alias("y1"), last["x"].alias("x2"), last["y"].alias("y2"))
+
+
+_CARRIED = f"""{_STREETS[:_STREETS.index('spots as')]}g as (select *, gcd((x2 - x1)::bigint, (y2 - y1)::bigint) * case when x2 > x1 or (x2 = x1 and y2 > y1) then 1 else -1 end as g from e),
+on_line as (select ((x2 - x1) / g)::bigint as ux, ((y2 - y1) / g)::bigint as uy, ((x2 - x1) / g * y1 - (y2 - y1) / g * x1)::bigint as o,
+  case when x1 = x2 then y1 else x1 end as p, case when x1 = x2 then y2 else x2 end as r from g),
+ends as (select ux, uy, o, least(p, r) as s, 1 as d from on_line union all select ux, uy, o, greatest(p, r), -1 from on_line),
+changes as (select ux, uy, o, s, sum(d) as d from ends group by all),
+counted as (select *, sum(d) over w as n, lead(s) over w as t from changes window w as (partition by ux, uy, o order by s))"""
+_AT = "case when ux = 0 then -o else {0} end::double as x{1}, case when ux = 0 then {0} else (o + uy * {0}) / ux end::double as y{1}"
+
+
+@query("g20_cover_counts", f"with {_CARRIED} select {_AT.format('s', 1)}, {_AT.format('t', 2)}, n::bigint as covers from counted where n > 0")
+def g20_cover_counts(spark, sf_dir):
+    return covering.cover_counts(checkpointed(linear.edge_table(street_vertices(spark, sf_dir))))
+
+
+@query("g20_union_of_lines", f"""with {_CARRIED},
+bounds as (select *, n - d as before, lead(s) over (partition by ux, uy, o order by s) as u from counted where n = 0 or n - d = 0)
+select {_AT.format('s', 1)}, {_AT.format('u', 2)} from bounds where before = 0""")
+def g20_union_of_lines(spark, sf_dir):
+    return covering.union_lines(checkpointed(linear.edge_table(street_vertices(spark, sf_dir))))
