@@ -48,3 +48,41 @@ def test_statistics_do_not_mix_texts():
     whole = quality.statistics(np.frombuffer(b"".join(texts), np.uint8), offsets)
     for i, t in enumerate(texts):
         assert np.allclose(whole[i], quality.statistics(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0])
+
+
+def test_scores_equal_those_of_one_machine(spark):
+    """Least squares on stacked rows instead of normal equations, and the max-min form of isotonic regression, on distinct texts."""
+    sf = "/root/testdata/sf0.01"
+    given = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").dropna()
+    docs = given.groupBy("text").agg({"doc_id": "min"}).withColumnRenamed("min(doc_id)", "doc_id")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r.doc_id: r.score for r in quality.classified(docs, labels).collect()}
+    texts = {r.doc_id: r.text.encode() for r in docs.collect()}
+    ids = sorted(texts)
+    stats = quality.statistics(np.frombuffer(b"".join(texts[i] for i in ids), np.uint8), np.concatenate(([0], np.cumsum([len(texts[i]) for i in ids]))))
+    y = {r.doc_id: float(r.quality) for r in labels.collect() if r.quality is not None}
+    crc = np.array([zlib.crc32(str(i).encode()) for i in ids])
+    train = np.array([i in y for i in ids]) & (crc % 5 != 0)
+    truth, fold = np.array([y.get(i, 0.0) for i in ids])[train], (crc % 5 % 2)[train]
+    mean, scale = stats[train].mean(axis=0), np.maximum(stats[train].std(axis=0), 1e-6)
+    x = np.column_stack((quality.fourier((stats - mean) / scale), np.ones(len(ids))))
+
+    def ridge(rows, target):
+        penalty = np.sqrt(np.append(np.full(quality.FEATURES, quality.RIDGE * len(rows)), 0.0) + 1e-9)
+        return np.linalg.lstsq(np.vstack((rows, np.diag(penalty))), np.append(target, np.zeros(len(penalty))), rcond=None)[0]
+
+    seen = x[train]
+    halves = [ridge(seen[fold == k], truth[fold == k]) for k in (0, 1)]
+    crossed = np.where(fold == 0, seen @ halves[1], seen @ halves[0])
+    order = np.argsort(crossed)
+    a, b, n = crossed[order], truth[order], len(order)
+    sums = np.concatenate(([0.0], np.cumsum(b)))
+    means = np.array([[(sums[j + 1] - sums[i]) / (j + 1 - i) if j >= i else np.inf for j in range(n)] for i in range(n)])
+    lowest = np.minimum.accumulate(means[:, ::-1], axis=1)[:, ::-1]
+    level = np.array([lowest[:i + 1, i].max() for i in range(n)])
+    assert (np.diff(level) >= 0).all()
+    blocks = np.split(np.arange(n), np.flatnonzero(np.diff(level)) + 1)
+    knots, levels = [a[k].mean() for k in blocks], [(b[k].sum() + 0.5) / (len(k) + 1) for k in blocks]
+    want = np.interp(x @ ridge(seen, truth), knots, levels)
+    assert n > 200 and len(blocks) > 2
+    assert max(abs(got[i] - w) for i, w in zip(ids, want)) < 1e-9
