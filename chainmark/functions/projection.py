@@ -175,10 +175,11 @@ def utm_srid(lon: Column, lat: Column) -> Column:
 
 
 def working_srid(setting: str, layers, geometry: str = "geometry") -> int:
-    """EPSG code to work in: the named one, or with ``utm`` the zone of the first position found.
+    """EPSG code to work in: the named one, or with ``utm`` the zone that most rows of the first layer with
+    positions lie in, of equally common ones the smallest code.
 
-    ``layers`` hold lon/lat points or vertex lists; each is asked for one row only. With no position at
-    all the fallback is web Mercator.
+    ``layers`` hold lon/lat points or vertex lists, of which the first vertex counts. With no position at all the fallback
+    is web Mercator.
     """
     if setting.lower().startswith("epsg:"):
         return int(setting.split(":")[1])
@@ -187,7 +188,8 @@ def working_srid(setting: str, layers, geometry: str = "geometry") -> int:
             continue
         kind = layer.schema[geometry].dataType.typeName()
         p = F.col(geometry) if kind == "struct" else F.get(F.col(geometry), F.lit(0))
-        row = layer.select(utm_srid(p["x"], p["y"]).alias("srid")).where("srid is not null").limit(1).first()
+        zones = layer.select(utm_srid(p["x"], p["y"]).alias("srid")).where("srid is not null").groupBy("srid").agg(F.count(F.lit(1)).alias("n"))
+        row = zones.orderBy(F.desc("n"), "srid").first()
         if row:
             return row["srid"]
     return WEB_MERCATOR

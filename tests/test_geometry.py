@@ -42,6 +42,8 @@ def test_working_crs(spark):
     assert P.working_srid("epsg:28350", []) == 28350
     assert P.working_srid("utm", [empty, layer]) == 32750
     assert P.working_srid("utm", [empty]) == 3857
+    mixed = spark.createDataFrame([((lon, -20.0),) for lon in (140.0, 118.0, 118.5, 140.5, 100.0)], "geometry struct<x:double,y:double>")
+    assert P.working_srid("utm", [mixed]) == P.working_srid("utm", [mixed.orderBy("geometry")]) == 32750
     with pytest.raises(ValueError):
         P.zone_of(9999)
 
