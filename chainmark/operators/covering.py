@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainmark.operators.noding import _on_grid
+from chainmark.operators.noding import on_grid
 from chainmark.operators.scale import lookup_join, numbered, running_sum
 from chainmark.session import checkpointed
 
@@ -32,7 +32,7 @@ def _wide(v: str) -> Column:
 
 def _changes(edges: DataFrame, digits: int) -> DataFrame:
     """``(ux, uy, off, s, delta, before, n)``: places along carriers where the number of covering edges changes, in order."""
-    grid = _on_grid(edges, digits).select("ax", "ay", (F.col("bx") - F.col("ax")).alias("dx"), (F.col("by") - F.col("ay")).alias("dy"))
+    grid = on_grid(edges, digits).select("ax", "ay", (F.col("bx") - F.col("ax")).alias("dx"), (F.col("by") - F.col("ay")).alias("dy"))
     ahead = (F.col("dx") > 0) | ((F.col("dx") == 0) & (F.col("dy") > 0))
     part = _gcd(F.col("dx"), F.col("dy"))
     turned = grid.withColumn("g", F.when(ahead, part).otherwise(-part))

@@ -26,7 +26,7 @@ SPLITS = 5
 _CELL = ["level", "cx", "cy"]
 
 
-def _on_grid(edges: DataFrame, digits: int) -> DataFrame:
+def on_grid(edges: DataFrame, digits: int) -> DataFrame:
     """Whole-number ends ``ax, ay, bx, by`` of each edge; edges without length on the grid are left out."""
     unit = F.lit(float(10 ** digits))
     names = {"ax": "x1", "ay": "y1", "bx": "x2", "by": "y2"}
@@ -38,7 +38,7 @@ def _difference(p: Column, q: Column, r: Column) -> tuple[Column, Column, Column
     return q["x"] - p["x"], r["y"] - p["y"], q["y"] - p["y"], r["x"] - p["x"]
 
 
-def _area(p: Column, q: Column, r: Column) -> Column:
+def area(p: Column, q: Column, r: Column) -> Column:
     """Twice the signed area of p, q, r in floating point."""
     a, b, c, d = (v.cast("double") for v in _difference(p, q, r))
     return a * b - c * d
@@ -53,7 +53,7 @@ def side(p: Column, q: Column, r: Column) -> Column:
     return F.when(sure, F.signum(a * b - c * d).cast("int")).when(left > right, 1).when(left < right, -1).otherwise(0)
 
 
-def _xy(x: str | Column, y: str | Column) -> Column:
+def xy(x: str | Column, y: str | Column) -> Column:
     return F.struct((F.col(x) if isinstance(x, str) else x).alias("x"), (F.col(y) if isinstance(y, str) else y).alias("y"))
 
 
@@ -61,7 +61,7 @@ def _cell(v: Column, bits: int) -> Column:
     return F.shiftright(v, bits)
 
 
-def _in_cells(edges: DataFrame, bits: int, level: int) -> DataFrame:
+def in_cells(edges: DataFrame, bits: int, level: int) -> DataFrame:
     """Each edge once for every cell of ``2 ** bits`` units that it comes within two units of: column by column, the rows it spans there."""
     size = 1 << bits
     low, high = F.least("ax", "bx"), F.greatest("ax", "bx")
@@ -84,7 +84,7 @@ def _in_cells(edges: DataFrame, bits: int, level: int) -> DataFrame:
 
 def _spots_of(edges: DataFrame) -> DataFrame:
     """Distinct positions of vertices."""
-    return edges.select(F.explode(F.array(_xy("ax", "ay"), _xy("bx", "by"))).alias("p")).select("p.x", "p.y").distinct()
+    return edges.select(F.explode(F.array(xy("ax", "ay"), xy("bx", "by"))).alias("p")).select("p.x", "p.y").distinct()
 
 
 def _placed(spots: DataFrame, bits: int, level: int) -> DataFrame:
@@ -99,7 +99,7 @@ def _leaves(edges: DataFrame, bits: int, cell_edges: int) -> tuple[DataFrame, Da
     and vertex positions together than that. ``hub_x, hub_y`` are null in cells with few edges.
     """
     spots, level, last = checkpointed(_spots_of(edges)), 0, max(4, bits - 2 * SPLITS)
-    listed, placed = checkpointed(_in_cells(edges, bits, 0)), _placed(spots, bits, 0)
+    listed, placed = checkpointed(in_cells(edges, bits, 0)), _placed(spots, bits, 0)
     done_edges, done_spots = [], []
     while True:
         many = listed.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("edges")).where(F.col("edges") > cell_edges)
@@ -107,7 +107,7 @@ def _leaves(edges: DataFrame, bits: int, cell_edges: int) -> tuple[DataFrame, Da
         if many.limit(1).count() == 0:
             break
         inside = lookup_join(listed, many, _CELL, how="inner")
-        ends = inside.select(*_CELL, F.explode(F.array(_xy("ax", "ay"), _xy("bx", "by"))).alias("hub"))
+        ends = inside.select(*_CELL, F.explode(F.array(xy("ax", "ay"), xy("bx", "by"))).alias("hub"))
         counts = ends.groupBy(*_CELL, "hub").agg(F.count(F.lit(1)).alias("n"))
         hubs = counts.groupBy(*_CELL).agg(F.max(F.struct("n", "hub")).alias("h")).select(*_CELL, F.col("h.n").alias("spokes"), "h.hub")
         held = lookup_join(placed, many.drop("edges"), _CELL, how="inner").groupBy(*_CELL).agg(F.count(F.lit(1)).alias("spots"))
@@ -122,7 +122,7 @@ def _leaves(edges: DataFrame, bits: int, cell_edges: int) -> tuple[DataFrame, Da
         down = listed.where("split").withColumnsRenamed({"cx": "ux", "cy": "uy"})
         below = placed.where("split").select("x", "y")
         bits, level = bits - 2, level + 1
-        finer = _in_cells(down, bits, level).where((F.shiftright("cx", 2) == F.col("ux")) & (F.shiftright("cy", 2) == F.col("uy"))).drop("ux", "uy")
+        finer = in_cells(down, bits, level).where((F.shiftright("cx", 2) == F.col("ux")) & (F.shiftright("cy", 2) == F.col("uy"))).drop("ux", "uy")
         listed, placed = checkpointed(finer.select(*edges.columns, *_CELL)), checkpointed(_placed(below, bits, level))
     none = F.lit(None).cast("long")
     done_edges.append(listed.withColumns({"hub_x": none, "hub_y": none}))
@@ -133,7 +133,7 @@ def _leaves(edges: DataFrame, bits: int, cell_edges: int) -> tuple[DataFrame, Da
 
 def _touches(edges: DataFrame, spots: DataFrame) -> DataFrame:
     """Vertex positions on edges, their own ends included: ``(line_id, measure, x, y)``, once for each edge."""
-    p, q, r = _xy("ax", "ay"), _xy("bx", "by"), _xy("x", "y")
+    p, q, r = xy("ax", "ay"), xy("bx", "by"), xy("x", "y")
     within = (F.col("x").between(F.least("ax", "bx"), F.greatest("ax", "bx"))) & (F.col("y").between(F.least("ay", "by"), F.greatest("ay", "by")))
     met = edges.join(spots, _CELL).where(within & (side(p, q, r) == 0))
     dx, dy = (F.col("bx") - F.col("ax")).cast("double"), (F.col("by") - F.col("ay")).cast("double")
@@ -152,7 +152,7 @@ def _crossed(edges: DataFrame, bits: int) -> DataFrame:
     """Positions inside two edges where they cross: ``(line_id, measure, x, y)`` for both."""
     key = F.struct("line_id", "seq")
     spoke = F.coalesce(((F.col("ax") == F.col("hub_x")) & (F.col("ay") == F.col("hub_y"))) | ((F.col("bx") == F.col("hub_x")) & (F.col("by") == F.col("hub_y"))), F.lit(False))
-    packed = edges.select(*_CELL, spoke.alias("spoke"), F.struct(key.alias("key"), _xy("ax", "ay").alias("p"), _xy("bx", "by").alias("q"), "m0", "m1").alias("e"))
+    packed = edges.select(*_CELL, spoke.alias("spoke"), F.struct(key.alias("key"), xy("ax", "ay").alias("p"), xy("bx", "by").alias("q"), "m0", "m1").alias("e"))
     others = packed.where(~F.col("spoke")).select(*_CELL, F.col("e").alias("f"))
     pairs = packed.join(others, _CELL).where(F.col("spoke") | (F.col("e.key") < F.col("f.key")))
     first = F.col("e.key") < F.col("f.key")
@@ -163,7 +163,7 @@ def _crossed(edges: DataFrame, bits: int) -> DataFrame:
     pairs = pairs.where(boxes).where((side(e["p"], e["q"], f["p"]) * side(e["p"], e["q"], f["q"]) < 0) & (side(f["p"], f["q"], e["p"]) * side(f["p"], f["q"], e["q"]) < 0))
 
     def share(of: Column, by: Column) -> Column:
-        here, there = _area(by["p"], by["q"], of["p"]), _area(by["p"], by["q"], of["q"])
+        here, there = area(by["p"], by["q"], of["p"]), area(by["p"], by["q"], of["q"])
         return F.least(F.greatest(here / F.nullif(here - there, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
 
     pairs = pairs.withColumns({"s": F.coalesce(share(e, f), F.lit(0.5)), "t": F.coalesce(share(f, e), F.lit(0.5))})
@@ -182,7 +182,7 @@ def crossings(edges: DataFrame, digits: int = 6, cell_edges: int = CELL_EDGES, c
     Cells are a few mean edge lengths wide (``cell_size``), to a power of four of the grid.
     """
     unit = 10.0 ** -digits
-    grid = checkpointed(_on_grid(edges, digits))
+    grid = checkpointed(on_grid(edges, digits))
     if cell_size is None:
         cell_size = 4 * (grid.agg(F.avg(F.col("m1") - F.col("m0"))).first()[0] or 1.0)
     bits = 2 * max(2, math.ceil(math.log(max(cell_size / unit, 16.0), 4)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainmark.functions.geometry import line_length, point
-from chainmark.operators import covering, linear, merging, noding
+from chainmark.operators import covering, gaps, linear, merging, noding
 from chainmark.plans.registry import query
 from chainmark.plans.standins import q, q_sql, table
 from chainmark.session import checkpointed
@@ -136,3 +136,72 @@ bounds as (select *, n - d as before, lead(s) over (partition by ux, uy, o order
 select {_AT.format('s', 1)}, {_AT.format('u', 2)} from bounds where before = 0""")
 def g20_union_of_lines(spark, sf_dir):
     return covering.union_lines(checkpointed(linear.edge_table(street_vertices(spark, sf_dir))))
+
+
+def street_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return street_vertices(spark, sf_dir).withColumnRenamed("line_id", "id")
+
+
+_GAP, _REACH = 25.0, 35.0
+# The nearest pair of each block of 300 lines, then the nearest of what is left, and so on; blocks lie far apart.
+_TAKEN = f"""recursive {_STREETS[:_STREETS.index('e as (')]}
+ends as (select k, false as far, x::double as x, y::double as y from s union all select k, true, x + a + c, y + b + d from s),
+single as (select min({{'id': k, 'far': far}}) as e, x, y from ends group by x, y having count(*) = 1),
+pairs as (select floor(a.e.id / 300) as blk, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) as square, a.e as e, a.x as x, a.y as y, b.e as f, b.x as fx, b.y as fy
+  from single a join single b on a.e < b.e and a.e.id <> b.e.id and b.x between a.x - 30 and a.x + 30),
+ranked as (select *, row_number() over (partition by blk order by square, md5(concat_ws('|', e.id, e.far, f.id, f.far)), e, f) as i from pairs where square <= {_GAP ** 2}),
+walk as (select blk, 0::bigint as i, list_value(e)[2:] as used, false as took from ranked where i = 1
+  union all select w.blk, r.i, case when list_has_any(w.used, [r.e, r.f]) then w.used else list_concat(w.used, [r.e, r.f]) end, not list_has_any(w.used, [r.e, r.f])
+  from walk w join ranked r on r.blk = w.blk and r.i = w.i + 1),
+taken as (select ranked.* from ranked join walk using (blk, i) where took)"""
+
+
+@query("g21_gaps", f"""with {_TAKEN} select e.id as id, e.far as far, x, y, f.id as other, f.far as other_far, fx as other_x, fy as other_y, {q_sql('sqrt(square)', 6)} as gap from taken""")
+def g21_gaps(spark, sf_dir):
+    return gaps.gaps(street_parts(spark, sf_dir), _GAP).withColumn("gap", q(F.col("gap"), 6))
+
+
+@query("g21_closed_gaps", f"""with {_TAKEN}, added as (select e.id as k, count(*) as n, sum(sqrt(square)) as d from taken group by 1)
+select k as id, 3 + coalesce(n, 0) as vertices, {q_sql('sqrt(a * a + b * b) + sqrt(c * c + d1 * d1) + coalesce(added.d, 0.0)', 6)} as length
+from (select k, a, b, c, d as d1 from s) left join added using (k)""")
+def g21_closed_gaps(spark, sf_dir):
+    closed = gaps.close_gaps(street_parts(spark, sf_dir), _GAP)
+    return closed.select("id", F.size("pts").cast("long").alias("vertices"), q(line_length(F.col("pts")), 6).alias("length"))
+
+
+_UNIT = 1e6
+_HITS = f"""{_STREETS[:_STREETS.index('spots as')]}
+g as (select k, seq, m0, m1, round(x1 * {_UNIT})::bigint as px, round(y1 * {_UNIT})::bigint as py, round(x2 * {_UNIT})::bigint as qx, round(y2 * {_UNIT})::bigint as qy from e),
+ends as (select k, false as far, seq as own, px as ax, py as ay, qx as ox, qy as oy from g where seq = 0 union all select k, true, seq, qx, qy, px, py from g where seq = 1),
+single as (select ends.* from ends join (select ax, ay from ends group by ax, ay having count(*) = 1) using (ax, ay)),
+lens as (select *, (ax - ox)::double as ux, (ay - oy)::double as uy from single),
+rays as (select k as id, far, own, ax, ay, ax + round({_REACH * _UNIT} * ux / sqrt(ux * ux + uy * uy))::bigint as rx, ay + round({_REACH * _UNIT} * uy / sqrt(ux * ux + uy * uy))::bigint as ry from lens),
+met as (select *, (rx - ax)::double as dx, (ry - ay)::double as dy,
+    sign((rx - ax)::hugeint * (py - ay) - (ry - ay)::hugeint * (px - ax)) as s_p, sign((rx - ax)::hugeint * (qy - ay) - (ry - ay)::hugeint * (qx - ax)) as s_q,
+    (qx - px)::double * (ay - py)::double - (qy - py)::double * (ax - px)::double as here, (qx - px)::double * (ry - py)::double - (qy - py)::double * (rx - px)::double as there,
+    sign((qx - px)::hugeint * (ay - py) - (qy - py)::hugeint * (ax - px)) as s_a, sign((qx - px)::hugeint * (ry - py) - (qy - py)::hugeint * (rx - px)) as s_b
+  from rays join g on (g.k <> id or g.seq <> own) and least(px, qx) <= greatest(ax, rx) and least(ax, rx) <= greatest(px, qx) and least(py, qy) <= greatest(ay, ry) and least(ay, ry) <= greatest(py, qy)),
+shares as (select *, ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy) as t_p, ((qx - ax) * dx + (qy - ay) * dy) / (dx * dx + dy * dy) as t_q,
+    least(greatest(here / nullif(here - there, 0), 0), 1) as t_c from met where s_p * s_q <= 0 and s_a * s_b <= 0),
+hits as (select *, case when s_a = 0 and not (s_p = 0 and s_q = 0) or (s_p = 0 and s_q = 0 and least(t_p, t_q) <= 0) then {{'t': 0.0::double, 'x': ax, 'y': ay}}
+    when s_p = 0 and (s_q <> 0 or t_p <= t_q) then {{'t': t_p, 'x': px, 'y': py}} when s_q = 0 then {{'t': t_q, 'x': qx, 'y': qy}}
+    else {{'t': t_c, 'x': ax + round(t_c * dx)::bigint, 'y': ay + round(t_c * dy)::bigint}} end as h from shares),
+nearest as (select id, far, ax, ay, min({{'t': h.t, 'k': k, 'seq': seq, 'x': h.x, 'y': h.y, 'd': sqrt(dx * dx + dy * dy), 'end': (h.x = px and h.y = py) or (h.x = qx and h.y = qy)}}) as m
+  from hits group by all having not (m['x'] = ax and m['y'] = ay))"""
+
+
+@query("g22_end_extensions", f"""with {_HITS} select id as line_id, far, ax / {_UNIT} as x, ay / {_UNIT} as y, m.k as onto, m.seq::bigint as onto_seq,
+{q_sql('m.x / 1e6', 3)} as hit_x, {q_sql('m.y / 1e6', 3)} as hit_y, {q_sql('m.t * m.d / 1e6', 3)} as reach from nearest""")
+def g22_end_extensions(spark, sf_dir):
+    edges = checkpointed(linear.edge_table(street_vertices(spark, sf_dir)))
+    found = gaps.end_extensions(edges, _REACH)
+    return found.select("line_id", "far", "x", "y", "onto", "onto_seq", *[q(F.col(c), 3).alias(c) for c in ("hit_x", "hit_y", "reach")])
+
+
+@query("g22_extended_lines", f"""with {_HITS}, longer as (select id as k, count(*) as n, sum(m.t * m.d / 1e6) as r from nearest group by 1),
+added as (select k, count(*) as n from (select distinct m.k as k, m.seq, m.x, m.y from nearest where not m.end) group by 1)
+select s.k as line_id, 3 + coalesce(longer.n, 0) + coalesce(added.n, 0) as vertices, {q_sql('sqrt(a * a + b * b) + sqrt(c * c + d * d) + coalesce(r, 0.0)', 3)} as length
+from s left join longer using (k) left join added using (k)""")
+def g22_extended_lines(spark, sf_dir):
+    lines = gaps.extend_ends(street_vertices(spark, sf_dir), _REACH)
+    return lines.select("line_id", F.size("pts").cast("long").alias("vertices"), q(line_length(F.col("pts")), 3).alias("length"))

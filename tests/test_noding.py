@@ -73,7 +73,7 @@ def test_random_lattice_lines_against_all_pairs(spark, seed, cell_edges, cell_si
 def test_a_hub_of_many_lines_is_not_compared_in_pairs(spark):
     lines = {f"s{i}": [(0, 0), (1000 + i, 3 * i)] for i in range(200)} | {"x": [(500, -10), (500, 2000)]}
     edges = table(spark, lines)
-    grid = noding._on_grid(edges, 6)
+    grid = noding.on_grid(edges, 6)
     listed, _ = noding._leaves(grid, 2 * 16, 16)
     spoke = (F.col("ax") == F.col("hub_x")) & (F.col("ay") == F.col("hub_y"))
     per_cell = listed.groupBy("level", "cx", "cy").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(spoke, F.lit(False)).cast("long")).alias("s"))
