@@ -248,6 +248,23 @@ def s1_s2_layers_from_files(spark, sf_dir):
     return found.select("name", "y", (F.col("n") / 2).cast("long").alias("parts"), "n")
 
 
+@query("s1_split_collections", """select c_name || ' }{ "' || chr(92) || c_nationkey || '"},' as name, c_custkey + cast(0.5 as double) as x, cast(c_nationkey as double) as y from customer""")
+def s1_split_collections(spark, sf_dir):
+    """Collections of a thousand features and a last one without geometry, each a file of many lines, read in pieces."""
+    c = S.table(spark, sf_dir, "customer")
+    name = F.concat("c_name", F.lit(' }{ "\\'), F.col("c_nationkey").cast("string"), F.lit('"},'))
+    place = F.concat(F.lit('"geometry":{"type":"Point","coordinates":['), F.col("c_custkey").cast("string"), F.lit(".5,"), F.col("c_nationkey").cast("string"), F.lit("]}},"))
+    feature = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(name.alias("name"))), F.lit(",\n"), place)
+    part = F.floor(F.col("c_custkey") / 1000).alias("part")
+    ends = [(0, '{"type":"FeatureCollection","name":"all } {","crs":{"type":"name","properties":{"name":"local"}},"features":['), (2, '{"type":"Feature","properties":{},"geometry":null}]}')]
+    frame = c.select(part).distinct().select("part", F.explode(F.array(*[F.struct(F.lit(n).alias("at"), F.lit(t).alias("value")) for n, t in ends])).alias("e")).select("part", "e.*")
+    folder = scratch_path(spark, "collections")
+    rows = c.select(part, F.lit(1).alias("at"), feature.alias("value")).unionByName(frame)
+    rows.repartition("part").sortWithinPartitions("part", "at").select("part", "value").write.partitionBy("part").text(folder)
+    found = layers.read_geojson(spark, folder, "Point", T.StructType([T.StructField("name", T.StringType())]), multiline=True)
+    return found.select("name", F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y"))
+
+
 @query("s15_kind_check", "select 'LineString' as kind, count(*) as rows from customer where c_custkey % 9 = 0")
 def s15_kind_check(spark, sf_dir):
     return layers.rejected(_features(spark, sf_dir), "points")

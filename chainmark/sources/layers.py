@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainmark.constants import LAYER_KINDS, LAYER_LINES
 from chainmark.functions.columns import union_all
 from chainmark.functions.geometry import feature_coordinates, feature_json, feature_kind, feature_parts, snap_grid
+from chainmark.operators.scale import lookup_join
+from chainmark.session import stored
 
 
 def features_of(texts: DataFrame, kind: str, properties: T.StructType | None = None, snap: bool = True) -> DataFrame:
@@ -45,23 +49,65 @@ def feature_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return lines.select(value.alias("value")).select(F.explode(each).alias("value"))
 
 
-def feature_texts_multiline(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The same from files in which a feature spans lines; each file is then one task's work."""
-    schema = "features array<struct<type:string,properties:string,geometry:struct<type:string,coordinates:string>>>"
-    docs = spark.read.schema(schema).option("multiLine", True).json([paths] if isinstance(paths, str) else list(paths))
-    f = F.col("f")
-    text = F.concat(
-        F.lit('{"type":"Feature","properties":'), F.coalesce(f["properties"], F.lit("null")),
-        F.lit(',"geometry":'), F.coalesce(F.concat(F.lit('{"type":"'), f["geometry"]["type"], F.lit('","coordinates":'), f["geometry"]["coordinates"], F.lit("}")), F.lit("null")), F.lit("}"))
-    return docs.select(F.explode("features").alias("f")).select(text.alias("value"))
+#: What precedes the next opening brace outside texts.
+_LEAD = r'(?s)^(?:[^"{]++|"(?:[^"\\]++|\\.)*+")*+'
+
+
+def _sum_before(rows: DataFrame, value: str, out: str) -> DataFrame:
+    """Sum of a column over all earlier pieces of the file: within the block, plus the totals of the blocks before."""
+    inside = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("file", "block").agg(F.sum(value).alias("_sum")).select("file", "block", F.coalesce(F.sum("_sum").over(blocks), F.lit(0)).alias("_base"))
+    here = rows.withColumn("_here", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return lookup_join(here, totals, ["file", "block"], how="inner").withColumn(out, F.col("_base") + F.col("_here")).drop("_base", "_here")
+
+
+def feature_texts_split(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """One feature per row from files that each hold one collection, on one line or on many; a large file is many tasks.
+
+    Files are read in pieces that end at closing braces, wherever those are. Sums over the pieces then tell which pieces start
+    inside a text and how deep each is; a feature ends where the depth falls to that of the collection. Members of the collection
+    that are objects of another type are left out. A task holds the pieces of one block of a file, and each feature is one value.
+    Compressed files are one block. A path given twice is read twice; one file by different paths is not provided for.
+    """
+    given = Counter([paths] if isinstance(paths, str) else paths)
+    found = [_split_once(spark, [p for p, times in given.items() if times > k]) for k in range(max(given.values()))]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _split_once(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    lines = spark.read.option("lineSep", "}").text(list(paths))
+    bare = F.regexp_replace("value", r"(?s)\\.", "")  # no escape ends in a brace, so none is cut
+    outside = r'"[^"]*+(?:"|$)'
+
+    def opens(text: Column) -> Column:
+        return F.length(F.regexp_replace(F.regexp_replace(text, outside, ""), r"[^{]++", "")).cast("long")
+
+    pieces = stored(lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), "value",
+        F.length(F.regexp_replace(bare, r'[^"]++', "")).cast("long").alias("quotes"), opens(bare).alias("opens"), opens(F.concat(F.lit('"'), bare)).alias("opens_quoted")), "pieces")
+    rows = _sum_before(pieces.drop("value"), "quotes", "q")
+    opened = F.when(F.col("q") % 2 == 0, F.col("opens")).otherwise(F.col("opens_quoted"))
+    closed = F.when((F.col("q") + F.col("quotes")) % 2 == 0, 1).otherwise(0).cast("long")
+    rows = stored(rows.select("file", "block", "n", (opened - closed).alias("change"), closed.alias("closed")), "piece-depths")
+    rows = _sum_before(rows, "change", "before")
+    ends = ((F.col("closed") == 1) & (F.col("before") + F.col("change") == 1)).cast("long")
+    rows = stored(rows.select("file", "block", "n", ends.alias("ends")), "piece-ends")
+    rows = _sum_before(rows, "ends", "feature")
+    texts = pieces.select("file", "block", "n", "value").join(rows, ["file", "block", "n"])
+    each = texts.groupBy("file", "feature").agg(F.array_sort(F.collect_list(F.struct("block", "n", "value"))).alias("p"), F.max("ends").alias("ends")).where("ends = 1")
+    joined = each.select("feature", F.concat(F.array_join(F.col("p.value"), "}"), F.lit("}")).alias("value"))
+    opening = F.when(F.col("feature") == 0, F.substr(F.regexp_replace("value", _LEAD, ""), F.lit(2))).otherwise(F.col("value"))
+    features = joined.select(F.regexp_replace(opening, _LEAD, "").alias("value"))
+    return features.where(F.get_json_object("value", "$.type") == "Feature")
 
 
 def read_geojson(
     spark: SparkSession, paths: str | Sequence[str], kind: str, properties: T.StructType | None = None,
     multiline: bool = False, snap: bool = True,
 ) -> DataFrame:
-    """A vector layer from one path or several."""
-    texts = feature_texts_multiline(spark, paths) if multiline else feature_texts(spark, paths)
+    """A vector layer from one path or several; ``multiline`` for files that each hold one collection, however large."""
+    texts = feature_texts_split(spark, paths) if multiline else feature_texts(spark, paths)
     return features_of(texts, kind, properties, snap)
 
 

@@ -92,6 +92,27 @@ def test_clipped_layer_is_stored_once(spark, tmp_path):
     assert database.clipped_layer(spark, points.limit(0), areas, path, "Point", refresh=True).count() == 0
 
 
+@pytest.mark.parametrize("indent", [None, 1])
+def test_one_collection_is_read_by_many_tasks(spark, tmp_path, indent):
+    odd = ["}", "{", '"', "\\", "\\\\\"}", "},{", "", "a\nb", '{"type":"Feature"}', "}}}{{{", "[", "\u2028"]
+    features = [{"type": "Feature", "properties": {"name": odd[i % len(odd)] + str(i), "deep": {"a": [{"b": {}}, {"c": "}"}]}},
+                 "geometry": {"type": "Point", "coordinates": [i + 0.5, -i]} if i % 7 else None} for i in range(700)]
+    whole = {"type": "FeatureCollection", "name": "x } {", "crs": {"type": "name", "properties": {"name": "l"}}, "bbox": [0, 1], "features": features, "more": {"type": "Other"}}
+    path = tmp_path / "layer.geojson"
+    path.write_text(json.dumps(whole, indent=indent, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "none.geojson").write_text('{"type": "FeatureCollection", "features": []}\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        texts = layers.feature_texts_split(spark, [str(path), str(tmp_path / "none.geojson")])
+        assert spark.read.option("lineSep", "}").text(str(path)).rdd.getNumPartitions() > 4
+        assert sorted(json.dumps(json.loads(r.value)) for r in texts.collect()) == sorted(json.dumps(f) for f in features)
+        rows = layers.read_geojson(spark, [str(path), str(path)], "Point", T.StructType.fromDDL("name string"), multiline=True)
+        assert rows.count() == 2 * sum(f["geometry"] is not None for f in features)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_observed_counts(spark):
     df, watch = cleaning.counted(spark.range(7), "seen", odd=F.count_if(F.col("id") % 2 == 1))
     df.collect()
