@@ -83,13 +83,55 @@ def test_database_kind_is_checked_before_writing(spark):
         database.write_layer(df, "jdbc:none", "t", "path", "path")
 
 
+AREAS = "area_id int, rings array<array<struct<x:double,y:double>>>"
+
+
+def _square(a, b):
+    return [[(a, a), (b, a), (b, b), (a, b), (a, a)]]
+
+
 def test_clipped_layer_is_stored_once(spark, tmp_path):
-    areas = spark.createDataFrame([(1, [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]])], "area_id int, rings array<array<struct<x:double,y:double>>>")
+    areas = spark.createDataFrame([(1, _square(0.0, 4.0))], AREAS)
+    points = spark.createDataFrame([(1, (1.0, 1.0), {"a": "1", "b": None}), (2, (9.0, 1.0), None)], "id int, geometry struct<x:double,y:double>, tags map<string,string>")
+    path = str(tmp_path / "clip")
+    with pytest.raises(ValueError):
+        database.current_layer(spark, path)
+    first = database.clipped_layer(spark, points, areas, path, "Point")
+    assert [r.id for r in first.collect()] == [1]
+    assert database.clipped_layer(spark, points.orderBy(F.desc("id")), areas, path, "Point").inputFiles() == first.inputFiles()
+    again = database.clipped_layer(spark, points, areas, path, "Point", refresh=True)
+    assert again.inputFiles() != first.inputFiles() and database.current_layer(spark, path).inputFiles() == again.inputFiles()
+
+
+def test_clipped_layer_follows_boundary_source_and_columns(spark, tmp_path):
     points = spark.createDataFrame([(1, (1.0, 1.0)), (2, (9.0, 1.0))], "id int, geometry struct<x:double,y:double>")
+    small, large = (spark.createDataFrame([(1, _square(0.0, b))], AREAS) for b in (4.0, 20.0))
     path = str(tmp_path / "clip")
-    assert database.clipped_layer(spark, points, areas, path, "Point").count() == 1
-    assert database.clipped_layer(spark, points.limit(0), areas, path, "Point").count() == 1
-    assert database.clipped_layer(spark, points.limit(0), areas, path, "Point", refresh=True).count() == 0
+    old = database.clipped_layer(spark, points, small, path, "Point")
+    assert old.count() == 1
+    assert database.clipped_layer(spark, points, large, path, "Point").count() == 2
+    assert database.current_layer(spark, path).count() == 2 and old.count() == 1
+    assert database.clipped_layer(spark, points, small, path, "Point").inputFiles() == old.inputFiles()
+    assert database.current_layer(spark, path).count() == 1
+    assert database.clipped_layer(spark, points, large, path, "Point", keep=["id"]).columns == ["id"]
+    assert database.clipped_layer(spark, points.limit(0), large, path, "Point").count() == 0
+    half = [spark.createDataFrame([(1, p)], points.schema) for p in ((None, 1.0), (1.0, None))]
+    assert len({database.layer_fingerprint(h, small) for h in half}) == 2
+    moved = points.withColumn("id", F.when(F.col("id") == 1, F.lit(None)).otherwise(F.col("id")))
+    assert {r.id for r in database.clipped_layer(spark, moved, large, path, "Point").collect()} == {None, 2}
+
+
+def test_failed_clip_leaves_the_stored_one(spark, tmp_path):
+    points = spark.createDataFrame([(1, (1.0, 1.0)), (2, (9.0, 1.0))], "id int, geometry struct<x:double,y:double>")
+    small, large = (spark.createDataFrame([(1, _square(0.0, b))], AREAS) for b in (4.0, 20.0))
+    path = str(tmp_path / "clip")
+    old = database.clipped_layer(spark, points, small, path, "Point")
+    with pytest.raises(Exception):
+        database.clipped_layer(spark, points, large, path, "Point", keep=["no_such_column"])
+    halted = tmp_path / "clip" / "snapshots" / (database.layer_fingerprint(points, large, "Point", "id", []) + "-halted")
+    halted.mkdir()  # a write that never came to its end
+    assert database.current_layer(spark, path).inputFiles() == old.inputFiles()
+    assert database.clipped_layer(spark, points, large, path, "Point").count() == 2
 
 
 @pytest.mark.parametrize("indent", [None, 1])
