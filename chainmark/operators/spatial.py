@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainmark.functions.geometry import point
+from chainmark.operators.area_cover import cover, inside_any, ring_edges
 from chainmark.operators.scale import BROADCAST_BYTES, HOT_ROWS, lookup_join, salted_join
 from chainmark.session import checkpointed
 
@@ -249,50 +250,23 @@ def switch_ids(segments: DataFrame, switches: DataFrame) -> DataFrame:
         "switch_ids", F.coalesce("switch_ids", F.array().cast("array<string>")))
 
 
-def _ring_edges(areas: DataFrame, area: str) -> DataFrame:
-    """Edges of all rings of polygons in column ``rings``, without level ones."""
-    rings = areas.select(area, F.explode("rings").alias("ring"))
-    legs = F.zip_with(F.slice("ring", F.lit(1), F.size("ring") - 1), F.slice("ring", F.lit(2), F.size("ring") - 1),
-                      lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
-    return rings.where(F.size("ring") > 2).select(area, F.explode(legs).alias("e")).select(area, "e.*")
-
-
 def clip_points(points: DataFrame, areas: DataFrame, area: str = "area_id", geometry: str = "geometry") -> DataFrame:
     """Points inside any polygon, each once (crossing count to the right, half-open in y).
 
-    Ring edges are listed per polygon and cell: horizontal bands as high as a usual edge, columns as wide as a
-    usual polygon. A point meets the polygons around its cell by equality, sees their edges of its band only,
-    and is kept by a semi join, so polygons that overlap do not multiply it.
+    A quadtree over the ring edges settles cells inside an area without a test; see ``area_cover``. A point meets
+    the areas of its cell by equality and is kept by a semi join, so polygons that overlap do not multiply it.
+    Points without finite coordinates are in no area.
     """
-    edges = _ring_edges(areas, area).where(F.col("y1") != F.col("y2"))
-    spans = edges.groupBy(area).agg(F.least(F.min("x1"), F.min("x2")).alias("_left"), F.greatest(F.max("x1"), F.max("x2")).alias("_right"))
-    height = edges.agg(F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("h")).first()["h"]
-    width = spans.agg(F.avg(F.col("_right") - F.col("_left")).alias("w")).first()["w"]
-    band, column = max(height or 1.0, 1e-9), max(width or 1.0, 1e-9)
-    listed = (
-        edges.withColumn("_band", F.explode(F.sequence(F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))))
-        .join(spans, area)
-        .withColumn("_column", F.explode(F.sequence(F.floor(F.col("_left") / column), F.floor(F.col("_right") / column))))
-        .groupBy("_band", "_column", area).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_ring")).drop(area)
-    )
-    x, y = F.col("_px"), F.col("_py")
-
-    def crosses(e) -> Column:
-        spans_y = (e["y1"] > y) != (e["y2"] > y)
-        return spans_y & (x < e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"]))
-
-    celled = points.withColumns({"_px": F.col(f"{geometry}.x"), "_py": F.col(f"{geometry}.y")})
-    celled = celled.withColumns({"_band": F.floor(y / band), "_column": F.floor(x / column)})
-    inside = F.size(F.filter("_ring", crosses)) % 2 == 1
-    joined = lookup_join(celled, listed, ["_band", "_column"], inside, "left_semi")
-    return joined.drop("_band", "_column", "_px", "_py")
+    placed = points.where(finite(F.col(geometry)))
+    covered = cover(areas, area)
+    return points.where(F.lit(False)) if covered is None else inside_any(placed, covered, F.col(f"{geometry}.x"), F.col(f"{geometry}.y"))
 
 
 def clip_lines(lines: DataFrame, areas: DataFrame, key: str, area: str = "area_id", geometry: str = "pts", cell: float | None = None) -> DataFrame:
     """Lines that meet any polygon: a vertex inside, or an edge crossing a ring edge."""
     vertices = lines.select(key, F.explode(geometry).alias("geometry"))
     inside = clip_points(vertices, areas, area).select(key)
-    rings = _ring_edges(areas, area).select("x1", "y1", "x2", "y2")
+    rings = ring_edges(areas, area).select("x1", "y1", "x2", "y2")
     legs = F.zip_with(F.slice(geometry, F.lit(1), F.size(geometry) - 1), F.slice(geometry, F.lit(2), F.size(geometry) - 1),
                       lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
     edges = lines.where(F.size(geometry) > 1).select(key, F.explode(legs).alias("e")).select(key, "e.*")
